@@ -131,11 +131,21 @@ def sort(df: DataFrame, *refs, descending: bool = False) -> DataFrame:
     return df.orderBy(*cols)
 
 
-def first_n(df: DataFrame, n: int, order: Sequence[OrderItem] | None = None) -> DataFrame:
+def first_n(df: DataFrame, n: int, order: Sequence[OrderItem] | None = None, descending: bool = False) -> DataFrame:
     """The first ``n`` rows; with ``order`` a fixed top-n (TakeOrdered:
     each partition keeps its own n best, then one merge of n*partitions)."""
     if n < 0:
         raise ValueError("n must be >= 0")
     if order:
-        return df.orderBy(*_order_cols(df, order)).limit(n)
+        return df.orderBy(*_order_cols(df, order, descending)).limit(n)
     return df.limit(n)
+
+
+def sort_position(df: DataFrame, *refs, name: str = "pos", descending: bool = False, **kw) -> DataFrame:
+    """S1 made observable: number the rows 1..n in the order ``sort`` would
+    give them (a ``float`` key sorts numerically, other keys as they are).
+    Distributed like ``dense_key``."""
+    order: list[Column] = []
+    for r in refs:
+        order.append(_try_double(df[name_of(df, int(r))]) if isinstance(r, float) else df[name_of(df, r)])
+    return dense_key(df, order, name, descending=descending, **kw)

@@ -69,7 +69,7 @@ event_v as (
         from s_performances group by competition_nm, program_event_nm) g)
 """
 
-PERSON_V = f"""
+RAW_PEOPLE = """
 raw_people as (
   select distinct nationality, gender, nm from (
     select nationality, cast(null as varchar) as gender, judge_nm as nm from s_judges
@@ -78,7 +78,10 @@ raw_people as (
     union all select nationality, 'F', trim(substr(skater_nm, 1, instr(skater_nm, '/') - 1))
               from s_performances where skater_nm like '%/%'
     union all select nationality, 'M', trim(substr(skater_nm, instr(skater_nm, '/') + 1))
-              from s_performances where skater_nm like '%/%') u),
+              from s_performances where skater_nm like '%/%') u)
+"""
+
+PERSON_V = RAW_PEOPLE.rstrip() + f""",
 people as (
   select {d_forename('nm')} as forename, {d_surname('nm')} as surname, gender, nationality, nm as raw_nm
   from raw_people),
@@ -134,7 +137,7 @@ score_v as (
 """
 
 
-def _model_sql(ctes: list[str], select: str, staging: list[str]) -> str:
+def model_sql(ctes: list[str], select: str, staging: list[str]) -> str:
     body = "with " + ",\n".join(c.strip() for c in ctes) + "\n" + select
     # merge the staging CTEs in front of the model CTEs
     st = with_staging("select 1", *staging)
@@ -143,29 +146,29 @@ def _model_sql(ctes: list[str], select: str, staging: list[str]) -> str:
 
 
 MODEL_ORACLE = {
-    "d_event": _model_sql(
+    "d_event": model_sql(
         [EVENT_V],
         "select event_id, competition_nm, program_nm, element_nm, entries_ct from event_v",
         ["s_performances"]),
-    "d_person": _model_sql(
+    "d_person": model_sql(
         [PERSON_V],
         "select person_id, forename, surname, gender, nationality from person_v",
         ["s_performances", "s_judges"]),
-    "d_aspect": _model_sql(
+    "d_aspect": model_sql(
         [ASPECT_V],
         "select aspect_id, aspect_type_cd, aspect_desc from aspect_v",
         ["s_judged_aspects"]),
-    "f_perf": _model_sql(
+    "f_perf": model_sql(
         [EVENT_V, PERSON_V, PERF_V],
         "select perf_id, event_id, event_perf_seq_nbr, skater1_id, skater2_id, event_perf_rank_nbr, "
         "component_score, element_score, deductions from perf_v",
         ["s_performances", "s_judges"]),
-    "f_perf_aspect": _model_sql(
+    "f_perf_aspect": model_sql(
         [EVENT_V, PERSON_V, PERF_V, ASPECT_V, PERF_ASPECT_V],
         "select perf_aspect_id, perf_id, perf_aspect_seq_nbr, aspect_id, base_difficulty, total_score "
         "from perf_aspect_v",
         ["s_performances", "s_judges", "s_judged_aspects"]),
-    "f_perf_aspect_score": _model_sql(
+    "f_perf_aspect_score": model_sql(
         [EVENT_V, PERSON_V, PERF_V, ASPECT_V, PERF_ASPECT_V, SCORE_V],
         "select perf_aspect_score_id, perf_aspect_id, judge_id, score from score_v",
         ["s_performances", "s_judges", "s_judged_aspects", "s_judge_scores"]),
