@@ -14,9 +14,9 @@ numbers rows the distributed way instead:
    lives in which partition. The counting pass and the numbering pass must see
    the same partitions; a lost executor or an AQE re-plan cannot change a
    checkpointed dataset, and nothing is held on a machine-local disk.
-3. rows per partition (an aggregate of n rows), exclusive running sum over
-   those n rows → offset per partition; the offset table has exactly n rows, a
-   proven bound, so it is broadcast.
+3. rows per partition: one pass over the checkpoint gives n counts (n = the
+   partition count, a bound independent of the data), and their exclusive
+   running sum is the offset of each partition, an array literal in the plan.
 4. key = start + (offset + position in partition) * interval, position taken
    from ``monotonically_increasing_id`` (partition id in the upper bits, row
    index in the lower 33) — no second shuffle.
@@ -65,17 +65,19 @@ def dense_key(df: DataFrame, order: Sequence[OrderItem], name: str = "id", *, st
 
     pid, mono = "__pid", "__mono"
     tagged = fixed.select("*", F.spark_partition_id().alias(pid), F.monotonically_increasing_id().alias(mono))
-    counts = tagged.groupBy(pid).agg(F.count(F.lit(1)).alias("__n"))
-    # n rows at most: one per range partition. The window has no partition key
-    # on purpose; it runs over these few rows only.
-    offsets = counts.select(
-        pid, (F.sum("__n").over(Window.orderBy(pid).rowsBetween(Window.unboundedPreceding, -1))).alias("__off")
-    ).fillna(0, subset=["__off"])
+    # Rows per range partition: one count per partition, so the driver gets
+    # n numbers (n = partition count, bounded, independent of the data size).
+    counts = dict(tagged.groupBy(pid).agg(F.count(F.lit(1)).alias("n")).collect())
+    nparts = fixed.rdd.getNumPartitions()
+    offsets, run = [], 0
+    for i in range(nparts):
+        offsets.append(run)
+        run += counts.get(i, 0)
+    offset_of = F.get(F.array(*[F.lit(o).cast("bigint") for o in offsets]), F.col(pid))
     pos = F.col(mono) - F.shiftleft(F.col(pid).cast("bigint"), 33)
-    key = (F.lit(start).cast("bigint") + (F.col("__off") + pos) * F.lit(interval).cast("bigint")).alias(name)
-    out = tagged.join(F.broadcast(offsets), pid)
+    key = (F.lit(start).cast("bigint") + (offset_of + pos) * F.lit(interval).cast("bigint")).alias(name)
     rest = [F.col(c) for c in df.columns]
-    return out.select(key, *rest) if first else out.select(*rest, key)
+    return tagged.select(key, *rest) if first else tagged.select(*rest, key)
 
 
 def dense_key_window(df: DataFrame, order: Sequence[OrderItem], name: str = "id", *, start: int = 1,

@@ -34,7 +34,7 @@ def pull_limit(limit) -> int:
     return min(n, MAX_PULL)
 
 
-def message_stream(spark: SparkSession, path: str, schema: StructType, *, fmt: str = "parquet",
+def message_stream(spark: SparkSession, path: str, schema: StructType | None, *, fmt: str = "parquet",
                    limit: int | None = None, glob: str | None = None, options: dict | None = None) -> DataFrame:
     """A streaming DataFrame over a message source.
 
@@ -42,7 +42,7 @@ def message_stream(spark: SparkSession, path: str, schema: StructType, *, fmt: s
     trigger for the file source, offsets per trigger for Kafka.
     """
     reader = spark.readStream.format(fmt)
-    if fmt != "kafka":
+    if fmt != "kafka" and schema is not None:
         reader = reader.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -88,7 +88,7 @@ def publish(stream_or_df: DataFrame, payload: Callable[[DataFrame], object] | No
     ``payload`` maps the rows to a ``value`` column (default: the rows as
     JSON); ``sink(batch_df, batch_id)`` delivers one batch (a Kafka write, a
     table append ...). Returns one ``(reply, detail)`` per batch: ``'Y'`` and
-    the number of rows, or ``'N'`` and the error.
+    a note naming the batch, or ``'N'`` and the error.
     """
     results: list[PublishResult] = []
 

@@ -1,0 +1,41 @@
+"""Bounded drain with an acknowledging checkpoint (M1-M3; FIXTURES §4.10)."""
+
+import os
+
+import pytest
+
+from starweave.streaming import drain as D
+
+
+def test_pull_limit():
+    assert D.pull_limit(5) == 5 and D.pull_limit("7") == 7 and D.pull_limit(5000) == 1000
+    for bad in (0, -1, "x", None, 2.5):
+        with pytest.raises(ValueError):
+            D.pull_limit(bad)
+
+
+def test_drain_twice_delivers_once(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    for i in range(4):
+        with open(os.path.join(src, f"m{i}.txt"), "w") as f:
+            f.write(f"msg {i}a\nmsg {i}b\n")
+    sink, ckpt = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ckpt")
+    stream = D.message_stream(spark, src, None, fmt="text", limit=1)
+    assert D.drain(stream, sink, ckpt, timeout_secs=120)
+    first = spark.read.parquet(sink).count()
+    stream = D.message_stream(spark, src, None, fmt="text", limit=1)
+    assert D.drain(stream, sink, ckpt, timeout_secs=120)
+    assert first == 8 and spark.read.parquet(sink).count() == 8
+
+
+def test_publish_reports_outcome(spark):
+    df = spark.createDataFrame([(1, "a")], "id long, v string")
+    ok = D.publish(df, sink=lambda b, i: b.count())
+    assert ok[0].reply == "Y"
+
+    def boom(b, i):
+        raise RuntimeError("down")
+
+    bad = D.publish(df, sink=boom)
+    assert bad[0].reply == "N" and "down" in bad[0].detail
