@@ -1,0 +1,66 @@
+"""Tables route against files route on natural keys."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from starweave.plans import routes as RT
+from starweave.sources import text as TX
+
+SMALL = "/root/testdata/sf0.001"
+COLS = {
+    "d_person": ["person_id", "forename", "surname", "gender", "nationality"],
+    "d_event": ["event_id", "competition_nm", "program_nm", "element_nm", "entries_ct"],
+    "d_aspect": ["aspect_id", "aspect_type_cd", "aspect_desc"],
+    "f_perf": ["perf_id", "event_id", "event_perf_seq_nbr", "skater1_id", "skater2_id", "event_perf_rank_nbr",
+               "component_score", "element_score", "deductions"],
+    "f_perf_aspect": ["perf_aspect_id", "perf_id", "perf_aspect_seq_nbr", "aspect_id", "base_difficulty",
+                      "total_score"],
+    "f_perf_aspect_score": ["perf_aspect_score_id", "perf_aspect_id", "judge_id", "score"],
+}
+
+
+@pytest.fixture(scope="module")
+def routes(spark, tmp_path_factory):
+    d = str(tmp_path_factory.mktemp("routes"))
+    RT.export_source_csv(spark, SMALL, os.path.join(d, "csv"))
+    tabs = RT.run_tables_route(spark, os.path.join(d, "csv"), os.path.join(d, "work"))
+    files = RT.run_files_route(spark, os.path.join(d, "csv"), os.path.join(d, "out"))
+    t = {k: spark.read.parquet(p) for k, p in tabs.items()}
+    f = {k: TX.read_text_table(spark, p, COLS[k]) for k, p in files.items()}
+    return t, f
+
+
+def _set(df, cols):
+    return sorted(tuple("" if v is None else str(v) for v in r) for r in df.select(*cols).collect())
+
+
+def test_same_sizes(routes):
+    t, f = routes
+    for k in COLS:
+        assert t[k].count() == f[k].count(), k
+
+
+def test_dimensions_agree_on_natural_keys(routes):
+    t, f = routes
+    assert _set(t["d_person"], COLS["d_person"][1:]) == _set(f["d_person"], COLS["d_person"][1:])
+    assert _set(t["d_event"], COLS["d_event"][1:]) == _set(f["d_event"], COLS["d_event"][1:])
+    assert _set(t["d_aspect"], COLS["d_aspect"]) == _set(f["d_aspect"], COLS["d_aspect"])
+
+
+def test_scores_agree_through_their_keys(routes):
+    t, f = routes
+
+    def judged(m):
+        person = m["d_person"].select(F.col("person_id").cast("string").alias("judge_id"), "surname", "forename")
+        s = m["f_perf_aspect_score"].select(F.col("judge_id").cast("string").alias("judge_id"),
+                                            F.col("score").cast("double").alias("score"))
+        return s.join(person, "judge_id").select("surname", "forename", "score")
+
+    assert _set(judged(t), ["surname", "forename", "score"]) == _set(judged(f), ["surname", "forename", "score"])
+
+
+def test_files_outputs_are_pipe_text(spark, routes):
+    t, f = routes
+    assert all(df.columns == COLS[k] for k, df in f.items())
