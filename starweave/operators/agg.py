@@ -42,9 +42,13 @@ def count_distinct_by(df: DataFrame, group: list[ColRef], of: ColRef, name: str
 
 def string_agg_ordered(df: DataFrame, group: list[ColRef], value: ColRef, order: ColRef,
                        sep: str = "", name: str = "agg") -> DataFrame:
-    """``STRING_AGG(value, sep ORDER BY order)`` per group (NULL on no
-    input). Uses ``listagg ... WITHIN GROUP``, which sorts inside the final
-    aggregate; partial aggregation still applies."""
+    """A6 across rows: ``STRING_AGG(value, sep ORDER BY order)`` per group
+    (NULL on no input), with ``listagg ... WITHIN GROUP``.
+
+    The result of a group is one value built in one task, so use it on groups
+    with a bounded number of rows (words of one text, a top-k per group); for
+    the words of one value use ``join_words`` inside the row, with no shuffle.
+    """
     g = names_of(df, group)
     v, o = names_of(df, [value, order])
     expr = F.expr(f"listagg(`{v}`, '{_sql_str(sep)}') WITHIN GROUP (ORDER BY `{o}`)")

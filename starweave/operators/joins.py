@@ -129,24 +129,37 @@ def one_row_per_key(side: DataFrame, keys: Sequence[str], vals: Sequence[str],
 
     Equal (key, values) rows collapse. When one key carries different values:
     ``'error'`` raises inside the plan naming the key, ``'min'`` keeps the
-    smallest value tuple. A single hash aggregate with map-side partial
-    aggregation, so a hot key is combined before the shuffle.
+    smallest value (for several value columns, the smallest tuple).
+
+    One aggregate with map-side partial aggregation, so a hot key is combined
+    before the shuffle. Conflicts are found per column (min, max and non-NULL
+    count: two different tuples differ in some column), which keeps the
+    aggregate hash-based for fixed-width values such as surrogate keys; only
+    ``'min'`` over several columns compares whole tuples.
     """
+    if on_duplicate not in ("error", "min"):
+        raise ValueError("on_duplicate must be 'error' or 'min'")
     if not vals:
         return side.select(*keys).distinct()
-    v = F.struct(*[side[c] for c in vals])
-    agg = side.groupBy(*[side[k] for k in keys]).agg(F.min(v).alias("__lo"), F.max(v).alias("__hi"))
-    if on_duplicate == "error":
-        chosen = F.when(
-            ~F.col("__lo").eqNullSafe(F.col("__hi")),
-            F.raise_error(F.concat(F.lit("lookup key has several values: "),
-                                   F.to_json(F.struct(*[F.col(k) for k in keys])))),
-        ).otherwise(F.col("__lo"))
-    elif on_duplicate == "min":
-        chosen = F.col("__lo")
-    else:
-        raise ValueError("on_duplicate must be 'error' or 'min'")
-    return agg.select(*keys, *[chosen[c].alias(c) for c in vals])
+    grouped = side.groupBy(*[side[k] for k in keys])
+    if on_duplicate == "min" and len(vals) > 1:
+        agg = grouped.agg(F.min(F.struct(*[side[c] for c in vals])).alias("__lo"))
+        return agg.select(*keys, *[F.col("__lo")[c].alias(c) for c in vals])
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    for i, c in enumerate(vals):
+        aggs += [F.min(side[c]).alias(f"__lo{i}"), F.max(side[c]).alias(f"__hi{i}"),
+                 F.count(side[c]).alias(f"__nn{i}")]
+    agg = grouped.agg(*aggs)
+    if on_duplicate == "min":
+        return agg.select(*keys, F.col("__lo0").alias(vals[0]))
+    conflict = None
+    for i in range(len(vals)):
+        c = (~F.col(f"__lo{i}").eqNullSafe(F.col(f"__hi{i}"))) | \
+            ((F.col(f"__nn{i}") > 0) & (F.col(f"__nn{i}") < F.col("__n")))
+        conflict = c if conflict is None else conflict | c
+    msg = F.concat(F.lit("lookup key has several values: "), F.to_json(F.struct(*[F.col(k) for k in keys])))
+    checked = agg.filter(F.when(conflict, F.raise_error(msg)).otherwise(F.lit(True)))
+    return checked.select(*keys, *[F.col(f"__lo{i}").alias(c) for i, c in enumerate(vals)])
 
 
 def lookup(main: DataFrame, side: DataFrame, how: str = "left", *, side_val=None, key=None, main_key=None,

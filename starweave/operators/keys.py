@@ -6,9 +6,9 @@ Dense keys at scale
 ``Exchange SinglePartition``: every row goes through one task. ``dense_key``
 numbers rows the distributed way instead:
 
-1. ``repartitionByRange(n, *order)`` + ``sortWithinPartitions`` — Spark samples
+1. ``repartitionByRange(*order)`` + ``sortWithinPartitions`` — Spark samples
    the keys for the range bounds, so partition ``i`` holds keys below those of
-   partition ``i+1``. A hot leading key value is split across partitions by
+   partition ``i+1``; AQE merges small adjacent ranges to its advisory size. A hot leading key value is split across partitions by
    the later key columns (the order is made total by a natural key last).
 2. ``checkpoint()`` (reliable, to ``spark.checkpoint.dir``) fixes which row
    lives in which partition. The counting pass and the numbering pass must see
@@ -43,12 +43,6 @@ def _order_cols(df: DataFrame, order: Sequence[OrderItem], descending: bool = Fa
     return cols
 
 
-def _range_partitions(df: DataFrame, partitions: int | None) -> int:
-    if partitions:
-        return partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def dense_key(df: DataFrame, order: Sequence[OrderItem], name: str = "id", *, start: int = 1, interval: int = 1,
               partitions: int | None = None, descending: bool = False, first: bool = True) -> DataFrame:
     """Prepend ``name`` = start, start+interval, ... in ``order``
@@ -58,10 +52,13 @@ def dense_key(df: DataFrame, order: Sequence[OrderItem], name: str = "id", *, st
         raise ValueError("dense_key needs an order")
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = _range_partitions(df, partitions)
     sort_cols = _order_cols(df, order, descending)
-    ranged = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
-    fixed = ranged.checkpoint(eager=True)
+    # Without an explicit count AQE sizes the range partitions from the
+    # measured shuffle (adjacent ranges merge, so the order holds); the
+    # checkpoint below is taken after that, so the partitions it fixes are
+    # the final ones.
+    ranged = df.repartitionByRange(partitions, *sort_cols) if partitions else df.repartitionByRange(*sort_cols)
+    fixed = ranged.sortWithinPartitions(*sort_cols).checkpoint(eager=True)
 
     pid, mono = "__pid", "__mono"
     tagged = fixed.select("*", F.spark_partition_id().alias(pid), F.monotonically_increasing_id().alias(mono))
@@ -143,6 +140,26 @@ def first_n(df: DataFrame, n: int, order: Sequence[OrderItem] | None = None, des
     return df.limit(n)
 
 
+def top_per_group(df: DataFrame, group: Sequence[ColRef], order: Sequence[OrderItem], k: int,
+                  descending: bool | Sequence[bool] = False) -> DataFrame:
+    """The first ``k`` rows of each group in ``order`` (a top-k report).
+
+    ``row_number() <= k`` over a window partitioned by the group: Spark plans
+    a partial group limit before the shuffle (WindowGroupLimit), so each map
+    task sends at most ``k`` rows per group and a hot group never travels
+    whole.
+    """
+    if k <= 0:
+        raise ValueError("k must be positive")
+    desc = [descending] * len(order) if isinstance(descending, bool) else list(descending)
+    cols = []
+    for o, d in zip(order, desc):
+        c = o if isinstance(o, Column) else df[name_of(df, o)]
+        cols.append(c.desc_nulls_last() if d else c.asc_nulls_first())
+    w = Window.partitionBy(*[df[name_of(df, g)] for g in group]).orderBy(*cols)
+    return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= k).drop("__rn")
+
+
 def sort_position(df: DataFrame, *refs, name: str = "pos", descending: bool = False, **kw) -> DataFrame:
     """S1 made observable: number the rows 1..n in the order ``sort`` would
     give them (a ``float`` key sorts numerically, other keys as they are).

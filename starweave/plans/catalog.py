@@ -264,14 +264,36 @@ def q_distinct_rows(spark, sf):
 
 
 @register("string_agg_words", f"""
-select p_partkey, string_agg({d_initcap('w')}, ' ' order by pos) as title
-from (select p_partkey, unnest(string_split(p_name, ' ')) as w,
-             generate_subscripts(string_split(p_name, ' '), 1) as pos from part) x
-group by p_partkey""")
+select p_partkey, (select string_agg({d_initcap('w')}, ' ' order by pos)
+                   from (select unnest(string_split(p_name, ' ')) as w,
+                                generate_subscripts(string_split(p_name, ' '), 1) as pos)) as title
+from part""")
 def q_string_agg_words(spark, sf):
-    words = T(spark, sf, "part").select("p_partkey", F.posexplode(F.split("p_name", " ", -1)).alias("pos", "w"))
-    words = words.select("p_partkey", "pos", S.initcap_words("w").alias("w"))
-    return A.string_agg_ordered(words, ["p_partkey"], "w", "pos", sep=" ", name="title")
+    # STRING_AGG(word ORDER BY position) over the words of one value: the words
+    # never leave their row, so there is no grouping and no shuffle.
+    words = F.transform(F.split("p_name", " ", -1), S.initcap_words)
+    return T(spark, sf, "part").select("p_partkey", A.join_words(words, " ").alias("title"))
+
+
+@register("string_agg_rows", f"""
+select o_orderpriority, o_orderstatus,
+       string_agg(cast(o_orderkey as varchar), ',' order by o_orderkey) as order_list
+from (select o_orderpriority, o_orderstatus, o_orderkey,
+             row_number() over (partition by o_orderpriority, o_orderstatus order by o_totalprice desc,
+                                o_orderkey) as r
+      from orders) x
+where r <= 5
+group by o_orderpriority, o_orderstatus""")
+def q_string_agg_rows(spark, sf):
+    # STRING_AGG across rows: the five most expensive orders of each
+    # (priority, status) as one text. The top-5 cut is the report itself; it
+    # keeps every group's list bounded before the rows are gathered.
+    o = T(spark, sf, "orders").select("o_orderpriority", "o_orderstatus", "o_orderkey", "o_totalprice")
+    top = K.top_per_group(o, ["o_orderpriority", "o_orderstatus"], ["o_totalprice", "o_orderkey"], 5,
+                          descending=[True, False])
+    return A.string_agg_ordered(top.withColumn("k", F.col("o_orderkey").cast("string")),
+                                ["o_orderpriority", "o_orderstatus"], "k", "o_orderkey", sep=",",
+                                name="order_list")
 
 
 # ===================================================================== W1-W4

@@ -162,12 +162,20 @@ def s_performances(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def panel_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The judges' supplier keys: at most ``PANEL_SIZE`` rows (s_suppkey is
+    the key, and the count is checked), so the panel is broadcast."""
+    s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey") \
+        .filter(F.col("s_suppkey") < PANEL_SIZE)
+    if s.limit(PANEL_SIZE + 1).count() > PANEL_SIZE:
+        raise ValueError(f"the judge panel has more than {PANEL_SIZE} members")
+    return F.broadcast(s)
+
+
 def judge_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The judges: at most ``PANEL_SIZE`` suppliers (s_suppkey is the key), so
-    this side has a proven size bound and is broadcast."""
-    s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    """The panel with each judge's nation (bounded like ``panel_keys``)."""
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return F.broadcast(s.filter(F.col("s_suppkey") < PANEL_SIZE).join(n, F.col("s_nationkey") == F.col("n_nationkey")))
+    return F.broadcast(panel_keys(spark, sf_dir).join(n, F.col("s_nationkey") == F.col("n_nationkey")))
 
 
 def s_judges(spark: SparkSession, sf_dir: str, perfs: DataFrame | None = None) -> DataFrame:
@@ -219,8 +227,8 @@ def s_judge_scores(spark: SparkSession, sf_dir: str, aspects: DataFrame | None =
     """One score per (aspect, panel judge): each aspect row meets the bounded
     panel (broadcast nested loop over at most ``PANEL_SIZE`` rows)."""
     aspects = aspects if aspects is not None else s_judged_aspects(spark, sf_dir)
-    s = read_table(spark, sf_dir, "supplier").select("s_suppkey").filter(F.col("s_suppkey") < PANEL_SIZE)
-    j = aspects.select("judged_aspect_id", "total_score").crossJoin(F.broadcast(s))
+    s = panel_keys(spark, sf_dir).select("s_suppkey")
+    j = aspects.select("judged_aspect_id", "total_score").crossJoin(s)
     return j.select(
         "judged_aspect_id",
         F.concat(F.lit("J"), F.col("s_suppkey").cast("string")).alias("clean_role"),
