@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..operators.keys import dense_key
 from ..operators.reshape import union_branches
+from ..session import materialize
 from . import staging as stg
 
 
@@ -199,8 +200,14 @@ class StarModel:
         }
 
 
-def build_model(spark: SparkSession, sf_dir: str, upto: str = "f_perf_aspect_score") -> StarModel:
-    """Build the model up to ``upto`` (later tables are left as None)."""
+def build_model(spark: SparkSession, sf_dir: str, upto: str = "f_perf_aspect_score",
+                materialize_staging: bool = True) -> StarModel:
+    """Build the model up to ``upto`` (later tables are left as None).
+
+    A staging table that more than one step reads (performances from f_perf
+    on, judged aspects from f_perf_aspect on) is written once as parquet under
+    the shared checkpoint directory instead of being derived again per step.
+    """
     st = stg.staging(spark, sf_dir)
     deps = {"d_event": [], "d_person": [], "d_aspect": [], "f_perf": ["d_event", "d_person"],
             "f_perf_aspect": ["f_perf", "d_aspect"], "f_perf_aspect_score": ["f_perf_aspect", "d_event", "d_person"]}
@@ -213,6 +220,13 @@ def build_model(spark: SparkSession, sf_dir: str, upto: str = "f_perf_aspect_sco
                 add(d)
 
     add(upto)
+    if materialize_staging:
+        if "f_perf" in need:
+            st["s_performances"] = materialize(st["s_performances"], "s_performances")
+            st["s_judges"] = stg.s_judges(spark, sf_dir, st["s_performances"])
+        if "f_perf_aspect" in need:
+            st["s_judged_aspects"] = materialize(st["s_judged_aspects"], "s_judged_aspects")
+            st["s_judge_scores"] = stg.s_judge_scores(spark, sf_dir, st["s_judged_aspects"])
     ev = event_view(st["s_performances"]) if "d_event" in need else None
     pe = person_view(st["s_performances"], st["s_judges"]) if "d_person" in need else None
     da = aspect_view(st["s_judged_aspects"]) if "d_aspect" in need else None

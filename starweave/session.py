@@ -79,3 +79,12 @@ def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     """Register the driver's parquet tables as temp views under their own names."""
     for n in names:
         read_table(spark, sf_dir, n).createOrReplaceTempView(n)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint directory and read
+    it back: the lineage is cut, later readers scan only the columns they use,
+    and a lost executor costs a re-read, not a recomputation."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
