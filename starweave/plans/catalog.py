@@ -569,3 +569,4 @@ for _t in ("d_event", "d_person", "d_aspect", "f_perf", "f_perf_aspect", "f_perf
 
 
 from . import catalog_io  # noqa: E402,F401  (sources, loads and streams register themselves)
+from . import catalog_files  # noqa: E402,F401  (the delimited-files route registers itself)

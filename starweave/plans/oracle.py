@@ -52,6 +52,18 @@ def d_name2(nm: str) -> str:
     return f"(case when instr({nm}, '/') > 0 then trim(trim(substr({nm}, instr({nm}, '/')), '/')) end)"
 
 
+def d_title(x: str) -> str:
+    """Python-style title case: capital after every non-letter (DuckDB)."""
+    return ("array_to_string(list_transform(regexp_extract_all({x}, '(\\p{{L}}+|\\P{{L}}+)'), "
+            "lambda w: upper(w[1]) || lower(w[2:])), '')").format(x=x)
+
+
+def d_trunc(x: str) -> str:
+    """Text to a whole number toward zero, blank or NULL -> 0 (DuckDB)."""
+    return (f"(case when coalesce(cast({x} as varchar), '') = '' then cast(0 as bigint) "
+            f"else cast(trunc(cast(cast({x} as varchar) as double)) as bigint) end)")
+
+
 def d_row_number(*order: str) -> str:
     cols = ", ".join(f"{o} nulls first" for o in order)
     return f"cast(row_number() over (order by {cols}) as bigint)"

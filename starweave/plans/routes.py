@@ -49,17 +49,54 @@ OUTPUT_FILES = {
 }
 
 
-def export_source_csv(spark: SparkSession, sf_dir: str, csv_dir: str) -> dict[str, str]:
-    """Write the staging tables as CSV files with a header (one directory of
-    part files per source file)."""
+def export_source_csv(spark: SparkSession, sf_dir: str, csv_dir: str,
+                      only: list[str] | None = None) -> dict[str, str]:
+    """Write the staging tables (or those in ``only``) as CSV files with a
+    header (one directory of part files per source file)."""
     paths = {}
     for name, df in stg.staging(spark, sf_dir).items():
+        if only is not None and name not in only:
+            continue
         p = os.path.join(csv_dir, SOURCE_FILES[name])
         TX.write_csv(df, p, mode="overwrite")
         paths[name] = p
     return paths
 
 
+# Output columns and types of the files route, as read back from its text.
+FILES_COLUMNS = {
+    "d_person": [("person_id", "bigint"), ("forename", "string"), ("surname", "string"), ("gender", "string"),
+                 ("nationality", "string")],
+    "d_event": [("event_id", "bigint"), ("competition_nm", "string"), ("program_nm", "string"),
+                ("element_nm", "string"), ("entries_ct", "bigint")],
+    "d_aspect": [("aspect_id", "bigint"), ("aspect_type_cd", "string"), ("aspect_desc", "string")],
+    "f_perf": [("perf_id", "bigint"), ("event_id", "bigint"), ("event_perf_seq_nbr", "bigint"),
+               ("skater1_id", "bigint"), ("skater2_id", "bigint"), ("event_perf_rank_nbr", "bigint"),
+               ("component_score", "double"), ("element_score", "double"), ("deductions", "double")],
+    "f_perf_aspect": [("perf_aspect_id", "bigint"), ("perf_id", "bigint"), ("perf_aspect_seq_nbr", "bigint"),
+                      ("aspect_id", "bigint"), ("base_difficulty", "double"), ("total_score", "double")],
+    "f_perf_aspect_score": [("perf_aspect_score_id", "bigint"), ("perf_aspect_id", "bigint"),
+                            ("judge_id", "bigint"), ("score", "double")],
+}
+
+# Source files each output of the files route reads.
+FILES_SOURCES = {
+    "d_person": ["s_performances", "s_judges"],
+    "d_event": ["s_performances", "s_judges"],
+    "d_aspect": ["s_judged_aspects"],
+    "f_perf": ["s_performances", "s_judges"],
+    "f_perf_aspect": ["s_performances", "s_judges", "s_judged_aspects"],
+    "f_perf_aspect_score": ["s_performances", "s_judges", "s_judged_aspects", "s_judge_scores"],
+}
+
+
+def read_files_output(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """Read one output of the files route back, typed."""
+    cols = FILES_COLUMNS[name]
+    back = TX.read_text_table(spark, path, [c for c, _ in cols], "|")
+    return back.select(*[F.col(c).cast(t).alias(c) for c, t in cols])
+
+
 # ---------------------------------------------------------------- tables route
 def run_tables_route(spark: SparkSession, csv_dir: str, work_dir: str) -> dict[str, str]:
     """Import → staging tables → dimensions → facts; returns table paths."""
@@ -99,87 +136,126 @@ def _fields(spark: SparkSession, path: str, width: int) -> DataFrame:
     return TX.rec_fields(switched, "line", "|", [f"c{i}" for i in range(width)])
 
 
-def files_route_tables(spark: SparkSession, csv_dir: str) -> dict[str, DataFrame]:
-    """The files route up to its six outputs (positions as in the reference
-    pipeline; comments give the fields after each step)."""
-    p00 = _fields(spark, os.path.join(csv_dir, SOURCE_FILES["s_performances"]), 11)
-    p01 = _fields(spark, os.path.join(csv_dir, SOURCE_FILES["s_judges"]), 8)
-    p02 = _fields(spark, os.path.join(csv_dir, SOURCE_FILES["s_judged_aspects"]), 12)
-    p03 = _fields(spark, os.path.join(csv_dir, SOURCE_FILES["s_judge_scores"]), 3)
-
-    # events: comp, program string, entries (distinct performance ids)
-    p10 = A.count_by(A.distinct_rows(P.keep_fields(p00, 1, 2, 0)), 0, 1, name="entries")
-
-    # performances + name 1, name 2, gender 1 (from the program), gender 2
-    p15 = P.xform_append(p00, [(3, S.name1), (3, S.name2), (2, S.gender_of_program), (3, S.gender_of_second)],
-                         names=["n1", "n2", "g1", "g2"])
-
-    # skaters: ctry, name, forename, surname, gender — one row per skater
-    p20 = P.keep_fields(p15, 4, 11, 12, 13, 14)
-    p20 = P.xform_append(p20, [(1, S.forename), (1, S.surname), (2, S.forename), (2, S.surname)],
-                         names=["f1", "s1", "f2", "s2"])
-    p20 = R.normalise(p20, 2, 1, 5, 6, 3, 2, 7, 8, 4, blanks="n", names=["nm", "fore", "sur", "gender"])
-    p20 = A.distinct_rows(P.keep_fields(p20, 1, 2, 3, 4, 0))
-
-    # judges: name, forename, surname, blank gender, ctry
-    p25 = A.distinct_rows(P.keep_fields(p01, 2, 2, 2, "x", 7))
-    p25 = P.xform(p25, [(1, S.forename), (2, S.surname)])
-
-    # people, keyed by surname, forename, ctry, gender (name last: a total order)
-    p30 = R.flatten(p20, p25)
-    p30 = K.dense_key(p30, [2, 1, 4, 3, 0], "person_id")
-
-    # events from the judges, with their entry counts, keyed by comp, program
-    p35 = A.distinct_rows(P.keep_fields(p01, 5, 4))
-    p35 = J.join(p35, p10, "Left", key="0,1", keep="0,1,4")
-    p35 = K.dense_key(p35, [0, 1], "event_id")
-
-    # judge roles: role, person_id, event_id
-    p40 = P.keep_fields(p01, 5, 2, 4, 6)
-    p40 = J.join(p40, p30, "Left", main_key=1, side_key=1, keep="3,0,2,4")
-    p40 = J.join(p40, p35, "Left", key="1,2", keep="0,3,4")
-
-    # performances: perf_id, rank, seq, el, co, ded, event_id, skater 1 id, skater 2 id
-    p45 = P.drop_fields(p15, 3, 4, 7, 13, 14)
-    p45 = J.lookup(p45, p35, "Left", side_val=0, key="1,2", keep="0,3,4,5,6,7,8,9,10")
-    p45 = J.lookup(p45, p30, "Left", side_val=0, main_key=6, side_key=1, keep="0,1,2,3,4,5,7,8,9",
-                   on_duplicate="min")
-    p45 = J.lookup(p45, p30, "Left", side_val=0, main_key=6, side_key=1, keep="0,1,2,3,4,5,7,8,9",
-                   on_duplicate="min")
-    p45 = A.distinct_rows(p45)
-    p45 = K.sort_position(p45, 6., 2., 0, name="performance_id")
-
-    # judged aspects: ja_id, perf_id, type letter, desc, seq (whole), base difficulty, score
-    p50 = A.distinct_rows(P.keep_fields(p02, 0, 1, 2, 4, 3, 7, 11))
-    p50 = P.xform(p50, [(2, S.first_letter_upper), (4, lambda c: S.trunc_int(c).cast("string"))])
-
-    # aspects: aspect_id, type letter, desc
-    p55 = K.dense_key(A.distinct_rows(P.keep_fields(p50, 2, 3)), [0, 1], "aspect_id")
-
-    # performance aspects: pa_id, ja_id, seq ('0' blank), bdiff, score, performance_id, aspect_id
-    p60 = J.lookup(p50, p45, "Left", key=1, side_val=0, keep="0,2,3,4,5,6,7")
-    p60 = J.lookup(p60, p55, "Left", key="1,2", side_val=0, keep="0,3,4,5,6,7")
-    p60 = K.sort_position(p60, 4., 1., 5., 0, name="pa_id")  # sorted on the seq before it is blanked
-    p60 = P.xform(p60, [(2, S.nullify)])
-
-    # scores: score_id, pa_id, person_id, score
-    p65 = A.distinct_rows(p03)
-    p65 = J.lookup(p65, p60, "Left", side_key=1, side_val=0, main_key=0, keep="1,2,3")
-    p65 = J.lookup(p65, p60, "Left", side_key=0, side_val=5, main_key=2, keep="0,1,2,3")
-    p65 = J.lookup(p65, p45, "Left", side_key=0, side_val=7, main_key=3, keep="0,1,2,4")
-    p65 = J.lookup(p65, p40, "Left", side_key="2,0", side_val=1, main_key="3,0", keep="2,4,1")
-    p65 = K.sort_position(p65, 0., 1., 2, name="score_id")
-
-    event = P.keep_fields(p35, 0, 1, 2, 2, 3)
-    event = P.xform(event, [(2, S.program_of), (3, S.element_of)])
-    return {
-        "d_person": P.drop_fields(p30, 1),
+def files_route_tables(spark: SparkSession, csv_dir: str, only: list[str] | None = None) -> dict[str, DataFrame]:
+    """The files route up to its six outputs, or only those named in
+    ``only`` (each step is built once, when first needed). Positions follow
+    the field layout after each step, given in the comments."""
+    memo: dict[str, DataFrame] = {}
+
+    def step(fn):
+        def get() -> DataFrame:
+            if fn.__name__ not in memo:
+                memo[fn.__name__] = fn()
+            return memo[fn.__name__]
+
+        return get
+
+    src = {n: os.path.join(csv_dir, f) for n, f in SOURCE_FILES.items()}
+
+    @step
+    def p00():  # performances, 11 text fields
+        return _fields(spark, src["s_performances"], 11)
+
+    @step
+    def p01():  # judges, 8 text fields
+        return _fields(spark, src["s_judges"], 8)
+
+    @step
+    def p02():  # judged aspects, 12 text fields
+        return _fields(spark, src["s_judged_aspects"], 12)
+
+    @step
+    def p03():  # judge scores, 3 text fields
+        return _fields(spark, src["s_judge_scores"], 3)
+
+    @step
+    def p10():  # comp, program string, entries (distinct performance ids)
+        return A.count_by(A.distinct_rows(P.keep_fields(p00(), 1, 2, 0)), 0, 1, name="entries")
+
+    @step
+    def p15():  # performances + name 1, name 2, gender 1 (from the program), gender 2
+        return P.xform_append(p00(), [(3, S.name1), (3, S.name2), (2, S.gender_of_program),
+                                      (3, S.gender_of_second)], names=["n1", "n2", "g1", "g2"])
+
+    @step
+    def p20():  # skaters: name, forename, surname, gender, ctry
+        x = P.keep_fields(p15(), 4, 11, 12, 13, 14)
+        x = P.xform_append(x, [(1, S.forename), (1, S.surname), (2, S.forename), (2, S.surname)],
+                           names=["f1", "s1", "f2", "s2"])
+        x = R.normalise(x, 2, 1, 5, 6, 3, 2, 7, 8, 4, blanks="n", names=["nm", "fore", "sur", "gender"])
+        return A.distinct_rows(P.keep_fields(x, 1, 2, 3, 4, 0))
+
+    @step
+    def p25():  # judges: name, forename, surname, blank gender, ctry
+        x = A.distinct_rows(P.keep_fields(p01(), 2, 2, 2, "x", 7))
+        return P.xform(x, [(1, S.forename), (2, S.surname)])
+
+    @step
+    def p30():  # person_id, name, forename, surname, gender, ctry
+        # keyed by surname, forename, ctry, gender; the name last makes the order total
+        return K.dense_key(R.flatten(p20(), p25()), [2, 1, 4, 3, 0], "person_id")
+
+    @step
+    def p35():  # event_id, comp, program string, entries (events of the judges)
+        x = A.distinct_rows(P.keep_fields(p01(), 5, 4))
+        x = J.join(x, p10(), "Left", key="0,1", keep="0,1,4")
+        return K.dense_key(x, [0, 1], "event_id")
+
+    @step
+    def p40():  # role, person_id, event_id
+        x = P.keep_fields(p01(), 5, 2, 4, 6)
+        x = J.join(x, p30(), "Left", main_key=1, side_key=1, keep="3,0,2,4")
+        return J.join(x, p35(), "Left", key="1,2", keep="0,3,4")
+
+    @step
+    def p45():  # performance_id, perf_id, rank, seq, el, co, ded, event_id, skater 1 id, skater 2 id
+        x = P.drop_fields(p15(), 3, 4, 7, 13, 14)
+        x = J.lookup(x, p35(), "Left", side_val=0, key="1,2", keep="0,3,4,5,6,7,8,9,10")
+        x = J.lookup(x, p30(), "Left", side_val=0, main_key=6, side_key=1, keep="0,1,2,3,4,5,7,8,9",
+                     on_duplicate="min")
+        x = J.lookup(x, p30(), "Left", side_val=0, main_key=6, side_key=1, keep="0,1,2,3,4,5,7,8,9",
+                     on_duplicate="min")
+        return K.sort_position(A.distinct_rows(x), 6., 2., 0, name="performance_id")
+
+    @step
+    def p50():  # ja_id, perf_id, type letter, desc, seq (whole), base difficulty, score
+        x = A.distinct_rows(P.keep_fields(p02(), 0, 1, 2, 4, 3, 7, 11))
+        return P.xform(x, [(2, S.first_letter_upper), (4, lambda c: S.trunc_int(c).cast("string"))])
+
+    @step
+    def p55():  # aspect_id, type letter, desc
+        return K.dense_key(A.distinct_rows(P.keep_fields(p50(), 2, 3)), [0, 1], "aspect_id")
+
+    @step
+    def p60():  # pa_id, ja_id, seq ('0' blank), bdiff, score, performance_id, aspect_id
+        x = J.lookup(p50(), p45(), "Left", key=1, side_val=0, keep="0,2,3,4,5,6,7")
+        x = J.lookup(x, p55(), "Left", key="1,2", side_val=0, keep="0,3,4,5,6,7")
+        x = K.sort_position(x, 4., 1., 5., 0, name="pa_id")  # sorted on the seq before it is blanked
+        return P.xform(x, [(2, S.nullify)])
+
+    @step
+    def p65():  # score_id, pa_id, person_id, score
+        x = A.distinct_rows(p03())
+        x = J.lookup(x, p60(), "Left", side_key=1, side_val=0, main_key=0, keep="1,2,3")
+        x = J.lookup(x, p60(), "Left", side_key=0, side_val=5, main_key=2, keep="0,1,2,3")
+        x = J.lookup(x, p45(), "Left", side_key=0, side_val=7, main_key=3, keep="0,1,2,4")
+        x = J.lookup(x, p40(), "Left", side_key="2,0", side_val=1, main_key="3,0", keep="2,4,1",
+                     on_duplicate="min")
+        return K.sort_position(x, 0., 1., 2, name="score_id")
+
+    def event():
+        x = P.keep_fields(p35(), 0, 1, 2, 2, 3)
+        return P.xform(x, [(2, S.program_of), (3, S.element_of)])
+
+    outputs = {
+        "d_person": lambda: P.drop_fields(p30(), 1),
         "d_event": event,
-        "f_perf": P.keep_fields(p45, 0, 7, 3, 8, 9, 2, 5, 4, 6),
+        "f_perf": lambda: P.keep_fields(p45(), 0, 7, 3, 8, 9, 2, 5, 4, 6),
         "d_aspect": p55,
-        "f_perf_aspect": P.keep_fields(p60, 0, 5, 2, 6, 3, 4),
+        "f_perf_aspect": lambda: P.keep_fields(p60(), 0, 5, 2, 6, 3, 4),
         "f_perf_aspect_score": p65,
     }
+    return {n: outputs[n]() for n in (only or list(outputs))}
 
 
 def run_files_route(spark: SparkSession, csv_dir: str, out_dir: str) -> dict[str, str]:
