@@ -75,11 +75,3 @@ def fresh_name(taken: Iterable[str], base: str) -> str:
         i += 1
     return f"{base}_{i}"
 
-
-def as_text(c: Column) -> Column:
-    """The text form of a value, with NULL kept as NULL."""
-    return c.cast("string")
-
-
-def blank_to_null(c: Column) -> Column:
-    return F.when(c == "", F.lit(None)).otherwise(c)

@@ -77,15 +77,6 @@ def dense_key(df: DataFrame, order: Sequence[OrderItem], name: str = "id", *, st
     return tagged.select(key, *rest) if first else tagged.select(*rest, key)
 
 
-def dense_key_window(df: DataFrame, order: Sequence[OrderItem], name: str = "id", *, start: int = 1,
-                     interval: int = 1) -> DataFrame:
-    """W1 by definition: ``row_number() OVER (ORDER BY ...)``. Single
-    partition: for small inputs and as the reference answer in tests."""
-    w = Window.orderBy(*_order_cols(df, order))
-    key = (F.lit(start).cast("bigint") + (F.row_number().over(w).cast("bigint") - 1) * interval).alias(name)
-    return df.select(key, *df.columns)
-
-
 def dense_rank_key(df: DataFrame, order: Sequence[OrderItem], name: str = "id", **kw) -> DataFrame:
     """``dense_rank() OVER (ORDER BY keys)``: equal keys share a number.
 

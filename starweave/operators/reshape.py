@@ -8,7 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..columns import ColRef, fresh_name, name_of, names_of
+from ..columns import ColRef, fresh_name, names_of
 from ..functions.scalars import split_literal, strip_ws
 from .project import all_blank
 
@@ -117,6 +117,3 @@ def fan_out(df: DataFrame, copies: int = 2, storage: StorageLevel = StorageLevel
     shared = df.persist(storage)
     return [shared] * copies
 
-
-def positions_to_names(df: DataFrame, refs: Sequence[ColRef]) -> list[str]:
-    return [name_of(df, r) for r in refs]

@@ -1,5 +1,6 @@
 """Surrogate keys and sorting (W1-W4, S1, S2; FIXTURES §4.6)."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from starweave.operators import keys as K
@@ -10,9 +11,16 @@ ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "
          "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
+def plain_window_key(df, order, name):
+    """W1 by definition, row_number() over the whole input in one partition:
+    the reference answer for small fixtures only."""
+    w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    return df.select(F.row_number().over(w).cast("bigint").alias(name), *df.columns)
+
+
 def test_dense_key_equals_plain_window_at_any_partition_count(spark):
     li = read_table(spark, SMALL, "lineitem")
-    ref = K.dense_key_window(li, ORDER, "id")
+    ref = plain_window_key(li, ORDER, "id")
     for n in (1, 3, 16):
         got = K.dense_key(li, ORDER, "id", partitions=n)
         assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0

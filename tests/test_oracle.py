@@ -1,5 +1,7 @@
 """Every registered query against its DuckDB oracle at sf0.001."""
 
+import contextlib
+import io
 import os
 import sys
 
@@ -31,9 +33,26 @@ def test_entry(spark):
     assert df.count() > 0
 
 
+# Queries whose plan may hold a nested-loop join: each crosses in the judge
+# panel, a side of at most three rows that is checked before the broadcast.
+BOUNDED_CROSS = {"join_cross", "join_two_roles", "join_composite", "union_branches_people"}
+
+
+def physical_plan(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
 @pytest.mark.parametrize("name", sorted(Q))
 def test_query_matches_oracle(spark, con, name):
     sdf = Q[name](spark, SMALL)
+    plan = physical_plan(sdf)
+    assert "EvalPython" not in plan  # no Python UDF in any query
+    assert "SinglePartition" not in plan  # nothing funnels all rows through one task
+    assert "CartesianProduct" not in plan
+    assert name in BOUNDED_CROSS or "NestedLoopJoin" not in plan
     srows = [tuple(r) for r in sdf.collect()]
     res = con.execute(O[name])
     dcols = [d[0] for d in res.description]
