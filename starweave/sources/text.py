@@ -84,15 +84,20 @@ def switch_delimiters(line: Column, old: str, new: str) -> Column:
     """Re-delimit one CSV line from ``old`` to ``new``.
 
     Any ``new`` already in the line is removed first; the line is split on
-    ``old`` outside double quotes, leading blanks of each field are skipped,
+    ``old`` outside double quotes, spaces right after a delimiter are skipped,
     the fields are joined with ``new`` and every ``"`` is deleted.
     With (',', '|') the line ``1, "Smith, J",3`` becomes ``1|Smith, J|3``;
     a doubled quote inside a quoted field is deleted like any other quote.
+
+    A line without any quote is split on the literal delimiter; only lines
+    holding a quote take the quote-aware split, whose lookahead rescans the
+    rest of the line at every delimiter.
     """
     cleaned = F.regexp_replace(line, quote_regex(new), "")
-    fields = F.split(cleaned, _outside_quotes(old), -1)
-    fields = F.transform(fields, lambda f: F.regexp_replace(F.regexp_replace(f, r"^[ \t]+", ""), '"', ""))
-    return F.array_join(fields, new)
+    plain = F.transform(split_literal(cleaned, old), lambda f: F.ltrim(f))
+    quoted = F.transform(F.split(cleaned, _outside_quotes(old), -1),
+                         lambda f: F.regexp_replace(F.ltrim(f), '"', ""))
+    return F.array_join(F.when(F.instr(cleaned, '"') == 0, plain).otherwise(quoted), new)
 
 
 def convert_rec(line: Column, delimiter: str) -> Column:
