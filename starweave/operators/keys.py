@@ -15,8 +15,8 @@ numbers rows the distributed way instead:
    the same partitions; a lost executor or an AQE re-plan cannot change a
    checkpointed dataset, and nothing is held on a machine-local disk.
 3. rows per partition: one pass over the checkpoint gives n counts (n = the
-   partition count, a bound independent of the data), and their exclusive
-   running sum is the offset of each partition, an array literal in the plan.
+   partition count, a bound independent of the data); their exclusive running
+   sum is the offset of each partition, an n-row table that is broadcast.
 4. key = start + (offset + position in partition) * interval, position taken
    from ``monotonically_increasing_id`` (partition id in the upper bits, row
    index in the lower 33) — no second shuffle.
@@ -62,19 +62,21 @@ def dense_key(df: DataFrame, order: Sequence[OrderItem], name: str = "id", *, st
 
     pid, mono = "__pid", "__mono"
     tagged = fixed.select("*", F.spark_partition_id().alias(pid), F.monotonically_increasing_id().alias(mono))
-    # Rows per range partition: one count per partition, so the driver gets
-    # n numbers (n = partition count, bounded, independent of the data size).
+    # Rows per range partition: the driver gets one count per partition, a
+    # number bounded by the partition count, not by the data.
     counts = dict(tagged.groupBy(pid).agg(F.count(F.lit(1)).alias("n")).collect())
-    nparts = fixed.rdd.getNumPartitions()
-    offsets, run = [], 0
-    for i in range(nparts):
-        offsets.append(run)
+    rows, run = [], 0
+    for i in range(fixed.rdd.getNumPartitions()):
+        rows.append((i, run))
         run += counts.get(i, 0)
-    offset_of = F.get(F.array(*[F.lit(o).cast("bigint") for o in offsets]), F.col(pid))
+    # One row per partition: broadcast once per executor (an inline literal
+    # would travel with every task).
+    offsets = spark.createDataFrame(rows, f"{pid} int, __off long")
     pos = F.col(mono) - F.shiftleft(F.col(pid).cast("bigint"), 33)
-    key = (F.lit(start).cast("bigint") + (offset_of + pos) * F.lit(interval).cast("bigint")).alias(name)
+    key = (F.lit(start).cast("bigint") + (F.col("__off") + pos) * F.lit(interval).cast("bigint")).alias(name)
+    out = tagged.join(F.broadcast(offsets), pid)
     rest = [F.col(c) for c in df.columns]
-    return tagged.select(key, *rest) if first else tagged.select(*rest, key)
+    return out.select(key, *rest) if first else out.select(*rest, key)
 
 
 def dense_rank_key(df: DataFrame, order: Sequence[OrderItem], name: str = "id", **kw) -> DataFrame:
