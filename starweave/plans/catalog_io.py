@@ -164,6 +164,19 @@ def q_fan_out(spark, sf):
     return n1.join(n2, "aspect_type_nm")
 
 
+@register("warehouse_route", MODEL_ORACLE["f_perf_aspect_score"])
+def q_warehouse_route(spark, sf):
+    # The whole warehouse job: CSV import into existing staging tables, then
+    # every model table loaded with its own load mode; the score fact is read
+    # back from its table.
+    from . import routes as RT
+
+    csv_dir = scratch_path(spark, "warehouse_csv")
+    RT.export_source_csv(spark, sf, csv_dir)
+    tables = RT.run_warehouse_route(spark, csv_dir, _table_name("wh"))
+    return spark.table(tables["f_perf_aspect_score"])
+
+
 # ------------------------------------------------------------------ M1 - M3
 def _events_stream(spark, sf, limit=None):
     schema = read_table(spark, sf, "events").schema

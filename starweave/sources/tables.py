@@ -92,3 +92,22 @@ def replace_function(spark: SparkSession, name: str = "initcap_words") -> None:
     """The word INITCAP as a SQL function callable from
     ``spark.sql``; its body is a Catalyst expression, no Python."""
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(str STRING) RETURNS STRING RETURN {INITCAP_SQL_BODY}")
+
+
+def import_csv(spark: SparkSession, table: str, path: str | Sequence[str], *, sep: str = ",",
+               required: Sequence[str] | None = None) -> None:
+    """O2: load CSV files (header, quoted newlines allowed) into an existing
+    table, replacing its rows. The table's own schema types the read, and
+    values that do not fit raise. The catalog does not keep NOT NULL for
+    parquet tables, so the required columns come from ``required`` or from
+    the table's spec (``schemas.SPECS``, by the table's own name); a NULL in
+    one raises naming it."""
+    from .schemas import SPECS, require, required_columns
+    from .text import read_csv
+
+    _must_exist(spark, table)
+    short = table.split(".")[-1]
+    if required is None:
+        required = required_columns(short) if short in SPECS else []
+    df = read_csv(spark, path, spark.table(table).schema, sep=sep)
+    require(df, list(required), short).write.insertInto(table, overwrite=True)

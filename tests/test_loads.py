@@ -57,3 +57,18 @@ def test_load_into_missing_table_raises(spark):
 def test_sql_function(spark):
     TB.replace_function(spark, "initcap_words")
     assert spark.sql("select initcap_words(\"o'brien-SMITH\") as x").first()[0] == "O'Brien-Smith"
+
+
+def test_import_csv_checks_required_columns(spark, tmp_path):
+    db = f"db_{uuid.uuid4().hex[:6]}"
+    spark.sql(f"CREATE DATABASE {db}")
+    TB.create_table(spark, f"{db}.s_judge_scores", SC.SCHEMAS["s_judge_scores"])
+    good = tmp_path / "good.csv"
+    good.write_text('judged_aspect_id,clean_role,score\nA1,J1,1.5\n"A\n2",J2,2\n')
+    TB.import_csv(spark, f"{db}.s_judge_scores", str(good))
+    TB.import_csv(spark, f"{db}.s_judge_scores", str(good))  # replaces, does not append
+    assert sorted(r[0] for r in spark.table(f"{db}.s_judge_scores").collect()) == ["A\n2", "A1"]
+    bad = tmp_path / "bad.csv"
+    bad.write_text("judged_aspect_id,clean_role,score\nA1,,1.5\n")
+    with pytest.raises(Exception, match="NULL in required column s_judge_scores.clean_role"):
+        TB.import_csv(spark, f"{db}.s_judge_scores", str(bad))
