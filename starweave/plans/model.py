@@ -204,11 +204,11 @@ def build_model(spark: SparkSession, sf_dir: str, upto: str = "f_perf_aspect_sco
                 materialize_staging: bool = True) -> StarModel:
     """Build the model up to ``upto`` (later tables are left as None).
 
-    A staging table that more than one step reads (performances from f_perf
-    on, judged aspects from f_perf_aspect on) is written once as parquet under
-    the shared checkpoint directory instead of being derived again per step.
+    Only the staging tables the requested tables need are derived. A staging
+    table that more than one step reads (performances from f_perf on, judged
+    aspects from f_perf_aspect on) is written once as parquet under the shared
+    checkpoint directory instead of being derived again per step.
     """
-    st = stg.staging(spark, sf_dir)
     deps = {"d_event": [], "d_person": [], "d_aspect": [], "f_perf": ["d_event", "d_person"],
             "f_perf_aspect": ["f_perf", "d_aspect"], "f_perf_aspect_score": ["f_perf_aspect", "d_event", "d_person"]}
     need: set[str] = set()
@@ -220,19 +220,26 @@ def build_model(spark: SparkSession, sf_dir: str, upto: str = "f_perf_aspect_sco
                 add(d)
 
     add(upto)
-    if materialize_staging:
-        if "f_perf" in need:
-            st["s_performances"] = materialize(st["s_performances"], "s_performances")
-            st["s_judges"] = stg.s_judges(spark, sf_dir, st["s_performances"])
-        if "f_perf_aspect" in need:
-            st["s_judged_aspects"] = materialize(st["s_judged_aspects"], "s_judged_aspects")
-            st["s_judge_scores"] = stg.s_judge_scores(spark, sf_dir, st["s_judged_aspects"])
-    ev = event_view(st["s_performances"]) if "d_event" in need else None
-    pe = person_view(st["s_performances"], st["s_judges"]) if "d_person" in need else None
-    da = aspect_view(st["s_judged_aspects"]) if "d_aspect" in need else None
-    fp = perf_view(st["s_performances"], ev, pe) if "f_perf" in need else None
-    fpa = perf_aspect_view(st["s_judged_aspects"], fp, da) if "f_perf_aspect" in need else None
+    perfs = aspects = judges = scores = None
+    if need & {"d_event", "d_person", "f_perf"}:
+        perfs = stg.s_performances(spark, sf_dir)
+        if materialize_staging and "f_perf" in need:
+            perfs = materialize(perfs, "s_performances")
+    if need & {"d_person", "f_perf_aspect_score"}:
+        judges = stg.s_judges(spark, sf_dir, perfs)
+    if need & {"d_aspect", "f_perf_aspect"}:
+        aspects = stg.s_judged_aspects(spark, sf_dir)
+        if materialize_staging and "f_perf_aspect" in need:
+            aspects = materialize(aspects, "s_judged_aspects")
+    if "f_perf_aspect_score" in need:
+        scores = stg.s_judge_scores(spark, sf_dir, aspects)
+
+    ev = event_view(perfs) if "d_event" in need else None
+    pe = person_view(perfs, judges) if "d_person" in need else None
+    da = aspect_view(aspects) if "d_aspect" in need else None
+    fp = perf_view(perfs, ev, pe) if "f_perf" in need else None
+    fpa = perf_aspect_view(aspects, fp, da) if "f_perf_aspect" in need else None
     fpas = None
     if "f_perf_aspect_score" in need:
-        fpas = perf_aspect_score_view(st["s_judge_scores"], fpa, judge_roles(st["s_judges"], ev, pe))
+        fpas = perf_aspect_score_view(scores, fpa, judge_roles(judges, ev, pe))
     return StarModel(ev, pe, da, fp, fpa, fpas)
