@@ -461,7 +461,7 @@ select performance_id, {d_surname(d_name1('skater_nm'))} as surname, {d_forename
 from s_performances""", "s_performances"))
 def q_split_name(spark, sf):
     p = stg.s_performances(spark, sf).select("performance_id", S.name1("skater_nm").alias("nm"))
-    return p.select("performance_id", S.surname("nm").alias("surname"), S.forename("nm").alias("forename"))
+    return S.with_name_parts(p, "nm").select("performance_id", "surname", "forename")
 
 
 @register("split_pair", with_staging(f"""

@@ -70,12 +70,8 @@ def raw_people(perfs: DataFrame, judges: DataFrame) -> DataFrame:
 
 
 def person_view(perfs: DataFrame, judges: DataFrame) -> DataFrame:
-    people = raw_people(perfs, judges).select(
-        S.forename("nm").alias("forename"),
-        S.surname("nm").alias("surname"),
-        "gender", "nationality",
-        F.col("nm").alias("raw_nm"),
-    )
+    people = S.with_name_parts(raw_people(perfs, judges), "nm").select(
+        "forename", "surname", "gender", "nationality", F.col("nm").alias("raw_nm"))
     return dense_key(people, ["surname", "forename", "nationality", "gender", "raw_nm"], "person_id")
 
 

@@ -226,15 +226,16 @@ def files_route_tables(spark: SparkSession, csv_dir: str, only: list[str] | None
     @step
     def p20():  # skaters: name, forename, surname, gender, ctry
         x = P.keep_fields(p15(), 4, 11, 12, 13, 14)
-        x = P.xform_append(x, [(1, S.forename), (1, S.surname), (2, S.forename), (2, S.surname)],
-                           names=["f1", "s1", "f2", "s2"])
+        # + forename, surname of name 1 and of name 2 (fields 5-8)
+        x = S.with_name_parts(S.with_name_parts(x, "n1", "f1", "s1"), "n2", "f2", "s2")
         x = R.normalise(x, 2, 1, 5, 6, 3, 2, 7, 8, 4, blanks="n", names=["nm", "fore", "sur", "gender"])
         return A.distinct_rows(P.keep_fields(x, 1, 2, 3, 4, 0))
 
     @step
     def p25():  # judges: name, forename, surname, blank gender, ctry
         x = A.distinct_rows(P.keep_fields(p01(), 2, 2, 2, "x", 7))
-        return P.xform(x, [(1, S.forename), (2, S.surname)])
+        x = S.with_name_parts(x, "c2", "__fore", "__sur")
+        return x.select("c2", F.col("__fore").alias("c2_1"), F.col("__sur").alias("c2_2"), "blank", "c7")
 
     @step
     def p30():  # person_id, name, forename, surname, gender, ctry
