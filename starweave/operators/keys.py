@@ -8,18 +8,20 @@ numbers rows the distributed way instead:
 
 1. ``repartitionByRange(*order)`` + ``sortWithinPartitions`` — Spark samples
    the keys for the range bounds, so partition ``i`` holds keys below those of
-   partition ``i+1``; AQE merges small adjacent ranges to its advisory size. A hot leading key value is split across partitions by
+   partition ``i+1``; AQE merges small adjacent ranges to its advisory size.
+   The sorting task tags each row with its partition id and its position in
+   the partition (``spark_partition_id``, ``monotonically_increasing_id``). A hot leading key value is split across partitions by
    the later key columns (the order is made total by a natural key last).
-2. ``checkpoint()`` (reliable, to ``spark.checkpoint.dir``) fixes which row
-   lives in which partition. The counting pass and the numbering pass must see
-   the same partitions; a lost executor or an AQE re-plan cannot change a
-   checkpointed dataset, and nothing is held on a machine-local disk.
-3. rows per partition: one pass over the checkpoint gives n counts (n = the
+2. the tagged rows are written as parquet under ``spark.checkpoint.dir`` (the
+   cluster's shared folder) and read back. The counting pass and the numbering
+   pass must see the same tags; a written table cannot change under a lost
+   executor or an AQE re-plan, nothing is held on a machine-local disk, and
+   the copy is compressed and columnar (later readers prune columns).
+3. rows per partition: one pass over the written tags gives n counts (n = the
    partition count, a bound independent of the data); their exclusive running
    sum is the offset of each partition, an n-row table that is broadcast.
-4. key = start + (offset + position in partition) * interval, position taken
-   from ``monotonically_increasing_id`` (partition id in the upper bits, row
-   index in the lower 33) — no second shuffle.
+4. key = start + (offset + position in partition) * interval — no second
+   shuffle.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..columns import ColRef, name_of
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 
 OrderItem = ColRef | Column
 
@@ -51,30 +53,30 @@ def dense_key(df: DataFrame, order: Sequence[OrderItem], name: str = "id", *, st
     if not order:
         raise ValueError("dense_key needs an order")
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     sort_cols = _order_cols(df, order, descending)
     # Without an explicit count AQE sizes the range partitions from the
-    # measured shuffle (adjacent ranges merge, so the order holds); the
-    # checkpoint below is taken after that, so the partitions it fixes are
-    # the final ones.
+    # measured shuffle (adjacent ranges merge, so the order holds).
     ranged = df.repartitionByRange(partitions, *sort_cols) if partitions else df.repartitionByRange(*sort_cols)
-    fixed = ranged.sortWithinPartitions(*sort_cols).checkpoint(eager=True)
-
     pid, mono = "__pid", "__mono"
-    tagged = fixed.select("*", F.spark_partition_id().alias(pid), F.monotonically_increasing_id().alias(mono))
-    # Rows per range partition: the driver gets one count per partition, a
-    # number bounded by the partition count, not by the data.
-    counts = dict(tagged.groupBy(pid).agg(F.count(F.lit(1)).alias("n")).collect())
+    # The task that sorts a range records its partition id and each row's
+    # position (the lower bits of monotonically_increasing_id) and writes them
+    # with the rows, so the numbering depends on nothing but the written table.
+    tagged = ranged.sortWithinPartitions(*sort_cols).select(
+        "*", F.spark_partition_id().alias(pid), F.monotonically_increasing_id().alias(mono))
+    fixed = materialize(tagged, "dense_key")
+    # Rows per range partition: one count per partition (reading the pid
+    # column only), a number bounded by the partition count, not by the data.
+    counts = sorted(tuple(r) for r in fixed.groupBy(pid).agg(F.count(F.lit(1)).alias("n")).collect())
     rows, run = [], 0
-    for i in range(fixed.rdd.getNumPartitions()):
-        rows.append((i, run))
-        run += counts.get(i, 0)
+    for p, n in counts:
+        rows.append((p, run))
+        run += n
     # One row per partition: broadcast once per executor (an inline literal
     # would travel with every task).
     offsets = spark.createDataFrame(rows, f"{pid} int, __off long")
     pos = F.col(mono) - F.shiftleft(F.col(pid).cast("bigint"), 33)
     key = (F.lit(start).cast("bigint") + (F.col("__off") + pos) * F.lit(interval).cast("bigint")).alias(name)
-    out = tagged.join(F.broadcast(offsets), pid)
+    out = fixed.join(F.broadcast(offsets), pid)
     rest = [F.col(c) for c in df.columns]
     return out.select(key, *rest) if first else out.select(*rest, key)
 
