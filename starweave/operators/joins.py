@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +48,27 @@ def fits_rows(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+# Rows a dimension-sized side may have and still be broadcast. A side over the
+# bound is joined by shuffle (sort-merge, with AQE's skew handling).
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows (checked by
+    reading at most ``max_rows + 1`` of them), else ``df`` unchanged.
+
+    The check lets the big side skip its shuffle when the small side is
+    proven small, instead of waiting for AQE to find out after both sides
+    shuffled. The side is kept (memory and disk) while it is checked, so the
+    broadcast does not compute it again; a side over the bound is released.
+    """
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if fits_rows(kept, max_rows):
+        return F.broadcast(kept)
+    kept.unpersist()
+    return df
+
+
 def key_pairs(main: DataFrame, side: DataFrame, mk: Sequence[str], sk: Sequence[str],
               blank_matches: bool = False) -> Column:
     """Equality of composite keys. Keys of different types compare as text

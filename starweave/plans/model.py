@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..operators.joins import broadcast_if_small
 from ..operators.keys import dense_key
 from ..operators.reshape import union_branches
 from ..session import materialize
@@ -96,9 +97,10 @@ def perf_view(perfs: DataFrame, events: DataFrame, people: DataFrame) -> DataFra
     Left joins: the event on (competition, program string), skater 1 and
     skater 2 on the name parts (the same person dimension under two roles).
     """
-    ev = events.select("event_id", F.col("competition_nm").alias("ev_comp"), "raw_event_nm")
-    p1 = people.select(F.col("person_id").alias("skater1_id"), F.col("raw_nm").alias("p1_nm"))
-    p2 = people.select(F.col("person_id").alias("skater2_id"), F.col("raw_nm").alias("p2_nm"))
+    ev = broadcast_if_small(events.select("event_id", F.col("competition_nm").alias("ev_comp"), "raw_event_nm"))
+    people_slim = broadcast_if_small(people.select("person_id", "raw_nm"))
+    p1 = people_slim.select(F.col("person_id").alias("skater1_id"), F.col("raw_nm").alias("p1_nm"))
+    p2 = people_slim.select(F.col("person_id").alias("skater2_id"), F.col("raw_nm").alias("p2_nm"))
     nm = F.col("skater_nm")
     base = perfs.select(
         "competition_nm", "program_event_nm", "event_perf_seq_nbr", "event_perf_rank_nbr",
@@ -125,7 +127,7 @@ def perf_aspect_view(aspects: DataFrame, perf: DataFrame, d_aspect: DataFrame) -
     """f_perf_aspect with raw_judged_aspect_id and the event_id of its
     performance (carried for the score fact)."""
     pk = perf.select("perf_id", "event_id", F.col("raw_performance_id").alias("__raw_perf"))
-    da = d_aspect.select("aspect_id", "aspect_type_cd", F.col("aspect_desc").alias("__desc"))
+    da = broadcast_if_small(d_aspect.select("aspect_id", "aspect_type_cd", F.col("aspect_desc").alias("__desc")))
     a = aspects.select(
         "performance_id", "aspect_desc", "base_difficulty", "total_score",
         S.round_int("perf_aspect_seq_nbr").alias("perf_aspect_seq_nbr"),
@@ -150,11 +152,13 @@ F_PERF_ASPECT_COLS = ["perf_aspect_id", "perf_id", "perf_aspect_seq_nbr", "aspec
 # ----------------------------------------------------- D6 f_perf_aspect_score
 def judge_roles(judges: DataFrame, events: DataFrame, people: DataFrame) -> DataFrame:
     """(event_id, clean_role) → judge person_id: events × panel rows."""
-    ev = events.select("event_id", F.col("competition_nm").alias("ev_comp"), "raw_event_nm")
+    ev = broadcast_if_small(events.select("event_id", F.col("competition_nm").alias("ev_comp"), "raw_event_nm"))
     pj = people.select(F.col("person_id").alias("judge_id"), F.col("raw_nm").alias("__jnm"))
     j = (judges.join(ev, (judges.competition_nm == ev.ev_comp) & (judges.program_event_nm == ev.raw_event_nm))
          .join(pj, judges.judge_nm == pj["__jnm"], "left"))
-    return j.select(F.col("event_id").alias("__ev"), F.col("clean_role").alias("__role"), "judge_id")
+    # events x panel rows: checked, then broadcast to the score rows
+    return broadcast_if_small(j.select(F.col("event_id").alias("__ev"), F.col("clean_role").alias("__role"),
+                                       "judge_id"))
 
 
 def perf_aspect_score_view(scores: DataFrame, perf_aspect: DataFrame, roles: DataFrame) -> DataFrame:
