@@ -136,8 +136,8 @@ def join(main: DataFrame, side: DataFrame, how: str = "inner", *, key=None, main
     sk = [name_of(side, r) for r in sk]
     side_r = _rename_side(main, side)
     sk_r = [side_r.columns[side.columns.index(k)] for k in sk]
-    if broadcast_max_rows is not None and fits_rows(side_r, broadcast_max_rows):
-        side_r = F.broadcast(side_r)
+    if broadcast_max_rows is not None:
+        side_r = broadcast_if_small(side_r, broadcast_max_rows)
     cond = key_pairs(main, side_r, mk, sk_r, blank_matches)
     joined = main.join(side_r, cond, kind)
     if kind in ("left_semi", "left_anti"):
@@ -213,8 +213,8 @@ def lookup(main: DataFrame, side: DataFrame, how: str = "left", *, side_val=None
         ren.append(F.col(c).alias(nm))
     slim = slim.select(*ren)
     sk_r = slim.columns[: len(sk)]
-    if broadcast_max_rows is not None and fits_rows(slim, broadcast_max_rows):
-        slim = F.broadcast(slim)
+    if broadcast_max_rows is not None:
+        slim = broadcast_if_small(slim, broadcast_max_rows)
     cond = key_pairs(main, slim, mk, sk_r, blank_matches)
     joined = main.join(slim, cond, kind)
     if kind in ("left_semi", "left_anti"):

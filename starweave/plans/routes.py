@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..operators import agg as A
 from ..operators import joins as J
+from ..operators.joins import BROADCAST_ROWS as DIM
 from ..operators import keys as K
 from ..operators import project as P
 from ..operators import reshape as R
@@ -245,23 +246,24 @@ def files_route_tables(spark: SparkSession, csv_dir: str, only: list[str] | None
     @step
     def p35():  # event_id, comp, program string, entries (events of the judges)
         x = A.distinct_rows(P.keep_fields(p01(), 5, 4))
-        x = J.join(x, p10(), "Left", key="0,1", keep="0,1,4")
+        x = J.join(x, p10(), "Left", key="0,1", keep="0,1,4", broadcast_max_rows=DIM)
         return K.dense_key(x, [0, 1], "event_id")
 
     @step
     def p40():  # role, person_id, event_id
         x = P.keep_fields(p01(), 5, 2, 4, 6)
-        x = J.join(x, p30(), "Left", main_key=1, side_key=1, keep="3,0,2,4")
-        return J.join(x, p35(), "Left", key="1,2", keep="0,3,4")
+        x = J.join(x, p30(), "Left", main_key=1, side_key=1, keep="3,0,2,4", broadcast_max_rows=DIM)
+        return J.join(x, p35(), "Left", key="1,2", keep="0,3,4", broadcast_max_rows=DIM)
 
     @step
     def p45():  # performance_id, perf_id, rank, seq, el, co, ded, event_id, skater 1 id, skater 2 id
         x = P.drop_fields(p15(), 3, 4, 7, 13, 14)
-        x = J.lookup(x, p35(), "Left", side_val=0, key="1,2", keep="0,3,4,5,6,7,8,9,10")
+        x = J.lookup(x, p35(), "Left", side_val=0, key="1,2", keep="0,3,4,5,6,7,8,9,10",
+                     broadcast_max_rows=DIM)
         x = J.lookup(x, p30(), "Left", side_val=0, main_key=6, side_key=1, keep="0,1,2,3,4,5,7,8,9",
-                     on_duplicate="min")
+                     on_duplicate="min", broadcast_max_rows=DIM)
         x = J.lookup(x, p30(), "Left", side_val=0, main_key=6, side_key=1, keep="0,1,2,3,4,5,7,8,9",
-                     on_duplicate="min")
+                     on_duplicate="min", broadcast_max_rows=DIM)
         return K.sort_position(A.distinct_rows(x), 6., 2., 0, name="performance_id")
 
     @step
@@ -276,7 +278,7 @@ def files_route_tables(spark: SparkSession, csv_dir: str, only: list[str] | None
     @step
     def p60():  # pa_id, ja_id, seq ('0' blank), bdiff, score, performance_id, aspect_id
         x = J.lookup(p50(), p45(), "Left", key=1, side_val=0, keep="0,2,3,4,5,6,7")
-        x = J.lookup(x, p55(), "Left", key="1,2", side_val=0, keep="0,3,4,5,6,7")
+        x = J.lookup(x, p55(), "Left", key="1,2", side_val=0, keep="0,3,4,5,6,7", broadcast_max_rows=DIM)
         x = K.sort_position(x, 4., 1., 5., 0, name="pa_id")  # sorted on the seq before it is blanked
         return P.xform(x, [(2, S.nullify)])
 
@@ -287,7 +289,7 @@ def files_route_tables(spark: SparkSession, csv_dir: str, only: list[str] | None
         x = J.lookup(x, p60(), "Left", side_key=0, side_val=5, main_key=2, keep="0,1,2,3")
         x = J.lookup(x, p45(), "Left", side_key=0, side_val=7, main_key=3, keep="0,1,2,4")
         x = J.lookup(x, p40(), "Left", side_key="2,0", side_val=1, main_key="3,0", keep="2,4,1",
-                     on_duplicate="min")
+                     on_duplicate="min", broadcast_max_rows=DIM)
         return K.sort_position(x, 0., 1., 2, name="score_id")
 
     def event():

@@ -94,3 +94,19 @@ def test_normalise_counts(spark, rows):
     blank = lambda *v: all(x in ("", None) for x in v)
     kept = sum((not blank(a, b)) + (not blank(c, d)) for a, b, c, d in rows)
     assert R.normalise(df, 2, 1, 2, 3, 4, blanks="n").count() == kept
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.text(alphabet="ab", max_size=2)),
+                min_size=1, max_size=40),
+       st.integers(1, 5), st.integers(-5, 5), st.integers(1, 3))
+def test_dense_key_matches_sorted_numbering(spark, rows, parts, start, interval):
+    from starweave.operators import keys as K
+
+    data = [(a, b, i) for i, (a, b) in enumerate(rows)]  # i: the natural key that makes the order total
+    df = spark.createDataFrame(data, "a int, b string, i int")
+    got = {r.i: r.id for r in K.dense_key(df, ["a", "b", "i"], "id", start=start, interval=interval,
+                                          partitions=parts).collect()}
+    nulls_first = sorted(data, key=lambda t: (t[0] is not None, t[0] or 0, t[1], t[2]))
+    want = {t[2]: start + n * interval for n, t in enumerate(nulls_first)}
+    assert got == want
