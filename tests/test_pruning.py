@@ -40,3 +40,17 @@ def test_count_by_reads_two_columns(spark):
 def test_panel_filter_is_pushed_to_the_scan(spark):
     text = plan(Q["join_cross"](spark, SMALL))
     assert re.search(r"PushedFilters: \[IsNotNull\(s_suppkey\), LessThan\(s_suppkey,3\)\]", text)
+
+
+def test_like_filter_on_a_staging_table_reaches_the_scan(spark, tmp_path):
+    from starweave.operators import project as P
+    from starweave.plans import staging as stg
+
+    path = str(tmp_path / "s_performances")
+    stg.s_performances(spark, SMALL).write.parquet(path)
+    table = spark.read.parquet(path)
+    ladies = P.like_filter(table, "program_event_nm", "%Ladies%")
+    assert "StringContains(program_event_nm,Ladies)" in plan(ladies)
+    starts = P.like_filter(table, "competition_nm", "Season 19%")
+    assert "StringStartsWith(competition_nm,Season 19)" in plan(starts)
+    assert ladies.count() == stg.s_performances(spark, SMALL).filter("program_event_nm like '%Ladies%'").count()

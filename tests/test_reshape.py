@@ -72,3 +72,13 @@ def test_xform_runs_in_order_and_append_sees_new_fields(spark):
     assert x == "AB1"
     y = P.xform_append(df, [(0, F.upper), (1, lambda c: F.concat(c, F.lit("!")))]).first()
     assert tuple(y) == ("ab", "AB", "AB!")
+
+
+def test_blank_groups_derived_and_case(spark):
+    df = spark.createDataFrame([("a", None, ""), ("b", "", None), ("c", "x", None)], "k string, a string, b string")
+    assert [r.k for r in P.drop_blank_groups(df, [1, 2]).collect()] == ["c"]
+    out = P.with_derived(df, up=F.upper("k"), flag=P.case_when([(F.col("a").isNull(), F.lit("none"))], F.lit("some")))
+    assert [tuple(r)[-2:] for r in out.orderBy("k").collect()] == [("A", "none"), ("B", "some"), ("C", "some")]
+    with pytest.raises(ValueError):
+        P.case_when([])
+    assert P.like_filter(df, "k", "b%").count() == 1 and P.like_filter(df, 0, "b%", negate=True).count() == 2
