@@ -95,13 +95,18 @@ def replace_function(spark: SparkSession, name: str = "initcap_words") -> None:
 
 
 def import_csv(spark: SparkSession, table: str, path: str | Sequence[str], *, sep: str = ",",
-               required: Sequence[str] | None = None) -> None:
+               required: Sequence[str] | None = None, multiline: bool = True) -> None:
     """O2: load CSV files (header, quoted newlines allowed) into an existing
     table, replacing its rows. The table's own schema types the read, and
     values that do not fit raise. The catalog does not keep NOT NULL for
     parquet tables, so the required columns come from ``required`` or from
     the table's spec (``schemas.SPECS``, by the table's own name); a NULL in
-    one raises naming it."""
+    one raises naming it.
+
+    With ``multiline`` (the default, as quoted newlines are allowed) each file
+    is read by one task, so a large import should come as many files; with
+    ``multiline=False`` files are split across tasks, for sources known to
+    hold no newline inside a field."""
     from .schemas import SPECS, require, required_columns
     from .text import read_csv
 
@@ -109,5 +114,5 @@ def import_csv(spark: SparkSession, table: str, path: str | Sequence[str], *, se
     short = table.split(".")[-1]
     if required is None:
         required = required_columns(short) if short in SPECS else []
-    df = read_csv(spark, path, spark.table(table).schema, sep=sep)
+    df = read_csv(spark, path, spark.table(table).schema, sep=sep, multiline=multiline)
     require(df, list(required), short).write.insertInto(table, overwrite=True)

@@ -72,3 +72,13 @@ def test_import_csv_checks_required_columns(spark, tmp_path):
     bad.write_text("judged_aspect_id,clean_role,score\nA1,,1.5\n")
     with pytest.raises(Exception, match="NULL in required column s_judge_scores.clean_role"):
         TB.import_csv(spark, f"{db}.s_judge_scores", str(bad))
+
+
+def test_import_csv_split_mode(spark, tmp_path):
+    db = f"db_{uuid.uuid4().hex[:6]}"
+    spark.sql(f"CREATE DATABASE {db}")
+    TB.create_table(spark, f"{db}.s_judge_scores", SC.SCHEMAS["s_judge_scores"])
+    src = tmp_path / "scores.csv"
+    src.write_text("judged_aspect_id,clean_role,score\n" + "".join(f"A{i},J{i % 3},{i}.5\n" for i in range(1000)))
+    TB.import_csv(spark, f"{db}.s_judge_scores", str(src), multiline=False)
+    assert spark.table(f"{db}.s_judge_scores").count() == 1000
