@@ -23,7 +23,7 @@ from ..session import read_table
 from . import model as M
 from . import staging as stg
 from .oracle import (MODEL_ORACLE, RAW_PEOPLE, d_element, d_forename, d_initcap, d_name1, d_name2, d_program,
-                     d_surname, model_sql)
+                     d_surname, d_title, d_trunc, model_sql)
 from .staging import with_staging
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -443,12 +443,10 @@ def q_initcap_words(spark, sf):
                     S.initcap_words(F.lower("program_event_nm")).alias("program_cap"))
 
 
-_D_TITLE = ("array_to_string(list_transform(regexp_extract_all({x}, '(\\p{{L}}+|\\P{{L}}+)'), "
-            "lambda w: upper(w[1]) || lower(w[2:])), '')")
 
 
 @register("title_case", with_staging(f"""
-select judged_aspect_id, {_D_TITLE.format(x="aspect_desc || ' 2nd-' || aspect_type_nm")} as title
+select judged_aspect_id, {d_title("aspect_desc || ' 2nd-' || aspect_type_nm")} as title
 from s_judged_aspects""", "s_judged_aspects"))
 def q_title_case(spark, sf):
     a = stg.s_judged_aspects(spark, sf)
@@ -474,7 +472,7 @@ def q_split_pair(spark, sf):
 
 @register("gender", with_staging(f"""
 select performance_id,
-       case when instr({_D_TITLE.format(x='program_event_nm')}, 'Men ') > 0 then 'M' else 'F' end as gender1,
+       case when instr({d_title('program_event_nm')}, 'Men ') > 0 then 'M' else 'F' end as gender1,
        case when instr(skater_nm, '/') > 0 then 'M' end as gender2
 from s_performances""", "s_performances"))
 def q_gender(spark, sf):
@@ -501,13 +499,11 @@ def q_first_letter(spark, sf):
     return a.select("judged_aspect_id", S.first_letter_upper("aspect_type_nm").alias("aspect_type_cd"))
 
 
-_D_TRUNC = ("(case when coalesce(cast({x} as varchar), '') = '' then cast(0 as bigint) "
-            "else cast(trunc(cast(cast({x} as varchar) as double)) as bigint) end)")
 
 
 @register("trunc_int", with_staging(f"""
-select judged_aspect_id, {_D_TRUNC.format(x='perf_aspect_seq_nbr')} as seq_int,
-       {_D_TRUNC.format(x='total_score')} as score_int
+select judged_aspect_id, {d_trunc('perf_aspect_seq_nbr')} as seq_int,
+       {d_trunc('total_score')} as score_int
 from s_judged_aspects""", "s_judged_aspects"))
 def q_trunc_int(spark, sf):
     a = stg.s_judged_aspects(spark, sf)
@@ -526,7 +522,7 @@ def q_round_int(spark, sf):
 
 
 @register("nullify", with_staging(f"""
-select judged_aspect_id, nullif(cast({_D_TRUNC.format(x='perf_aspect_seq_nbr')} as varchar), '0') as seq_txt
+select judged_aspect_id, nullif(cast({d_trunc('perf_aspect_seq_nbr')} as varchar), '0') as seq_txt
 from s_judged_aspects""", "s_judged_aspects"))
 def q_nullify(spark, sf):
     a = stg.s_judged_aspects(spark, sf)
