@@ -82,3 +82,12 @@ def test_blank_groups_derived_and_case(spark):
     with pytest.raises(ValueError):
         P.case_when([])
     assert P.like_filter(df, "k", "b%").count() == 1 and P.like_filter(df, 0, "b%", negate=True).count() == 2
+
+
+def test_count_by_without_columns(spark):
+    from starweave.operators import agg as A
+
+    empty = spark.createDataFrame([], "x int")
+    assert [tuple(r) for r in A.count_by(empty).collect()] == [(0,)]  # one row holding 0, as SQL gives
+    three = spark.createDataFrame([(1,), (1,), (2,)], "x int")
+    assert sorted(tuple(r) for r in A.count_by(three, 0).collect()) == [(1, 2), (2, 1)]

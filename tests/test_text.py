@@ -57,3 +57,13 @@ def test_write_text_single_file(spark, tmp_dir):
     TX.write_text(df, out, single_file=True)
     parts = [f for f in os.listdir(out) if f.startswith("part-")]
     assert len(parts) == 1 and spark.read.text(out).count() == 50
+
+
+def test_read_csv_fails_fast_on_a_bad_type(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "bad_scores.csv")
+    with open(p, "w") as f:
+        f.write("judged_aspect_id,clean_role,score\nA1,J1,not-a-number\n")
+    import pytest
+
+    with pytest.raises(Exception):
+        TX.read_csv(spark, p, SCHEMAS["s_judge_scores"]).collect()
