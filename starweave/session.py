@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,7 +45,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint directory the cluster names; set one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` points to shared storage and is used
-    as is. In local tests it is unset, and a fresh directory is made for it.
+    as is, scheme included. Where it is unset, a local-mode session gets a fresh
+    temporary directory; on any other master this raises, because executors
+    could not see a folder made on the driver's disk.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -55,20 +58,42 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return configured
     if current is not None:
         return current
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError(f"spark.checkpoint.dir is unset on master {sc.master}: name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="starweave-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
     return local
 
 
+# Paths handed out by scratch_path in this process and not yet released.
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint directory, for written tables."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    import uuid
-
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def scratch_mark() -> int:
+    """A mark for ``release_scratch``: only paths handed out later are released."""
+    return len(_SCRATCH)
+
+
+def release_scratch(spark: SparkSession, since: int = 0) -> int:
+    """Delete the scratch tables handed out since ``since`` (all by default) and
+    return how many paths were released. Call it when the frames that read them
+    have been written or consumed; frames stay lazy until then."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    gone = _SCRATCH[since:]
+    for path in gone:
+        p = hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    del _SCRATCH[since:]
+    return len(gone)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
