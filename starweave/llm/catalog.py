@@ -7,17 +7,34 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import read_table
-from . import jaccard_join, quality
+from . import decontaminate, jaccard_join, mixing, quality, sharding, toxicity
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(read_table(spark, sf_dir, "documents"))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(read_table(spark, sf_dir, "documents")).select(*quality.QUERY_COLUMNS)
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_by_bytes(read_table(spark, sf_dir, "documents"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op8_quality_rules, op10_jaccard_join)}
-ORACLES: dict[str, str] = {"op8_quality_rules": quality.ORACLE}
+    f.__name__: f for f in (
+        op2_decontamination, op3_toxicity, op6_mixing, op8_quality_rules, op9_sharding, op10_jaccard_join)}
+ORACLES: dict[str, str] = {"op6_mixing": mixing.ORACLE, "op8_quality_rules": quality.ORACLE}
