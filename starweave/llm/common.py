@@ -64,3 +64,14 @@ def batches(rows: Iterable[pa.RecordBatch], fn) -> Iterator[pa.RecordBatch]:
     for b in rows:
         if b.num_rows:
             yield fn(b)
+
+
+def worker_state(key: str, make):
+    """What ``make()`` returned the first time in this Python worker; it lives as long as the worker does."""
+    import sys
+    from types import ModuleType
+
+    state = sys.modules.setdefault("starweave_worker_state", ModuleType("starweave_worker_state")).__dict__
+    if key not in state:
+        state[key] = make()
+    return state[key]

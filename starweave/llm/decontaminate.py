@@ -1,18 +1,18 @@
 """Benchmark decontamination by BM25 retrieval with block-max WAND, verified on question and answer.
 
-Index. Test items are lower-cased, taken as words between ASCII punctuation and white space, and cut into segments of at most ``SEGMENT`` words, each
-scored by BM25 over the whole benchmark. A posting holds a segment and its contribution divided by the segment's own
-score, so one threshold fits all; a term's postings, in segment order, have a maximum per block of ``BLOCK``. The
-postings are made by Spark; a part of at most ``part_postings`` of them is loaded at a time and sent to the tasks, a
-larger benchmark goes over the corpus part by part, with the same scores.
+Index. Test items are lower-cased, taken as words between ASCII punctuation and white space, and cut into segments of
+at most ``SEGMENT`` words, each scored by BM25 over the whole benchmark. A posting holds a segment and its
+contribution divided by the segment's own score, so one threshold fits all; a term's postings, in segment order, have
+a maximum per block of ``BLOCK``. The postings are made by Spark; a part of at most ``part_postings`` of them is
+loaded at a time and sent to the tasks, a larger benchmark goes over the corpus part by part, with the same scores.
 
 Query. Every document is cut into chunks of ``CHUNK`` words, and every two neighbouring chunks are a passage, so no
-word is left out and every run of CHUNK words lies in a passage. Of each segment the terms of the most segments, as many as
-stay below a share of the threshold together, are its common ones; a passage reaches a segment only with one of the rest, its
-essential terms. Passages whose essential terms and the common rest cannot reach ``threshold`` for any segment end
-there. The others run block-max WAND: cursors sorted by segment find the pivot where summed maxima
-reach the threshold, block maxima decide whether it is scored or skipped; all segments at or above the threshold are
-retrieved (a threshold, not a top k, so nothing is cut off).
+word is left out and every run of CHUNK words lies in a passage. Of each segment the terms of the most segments, as
+many as stay below a share of the threshold together, are its common ones; the others are essential. A passage whose
+essential terms, with the common rest, cannot reach the threshold for any segment ends there. The others run
+block-max WAND: cursors sorted by segment find the pivot where summed maxima reach the threshold, block maxima decide
+whether it is scored or skipped; all segments at or above the threshold are retrieved (a threshold, not a top k, so
+nothing is cut off).
 
 Verify. For a retrieved item the document's words around the passage (an item's length to either side) must hold at
 least ``overlap`` of the item's question ``GRAM``-grams and of its answer ones. The answer is the last sentence, or
@@ -41,7 +41,7 @@ BLOCK = 64
 GRAM = 3
 K1, B = 1.2, 0.75
 #: Share of the threshold that a segment's common terms may make up together.
-COMMON = 0.7
+COMMON = 0.5
 THRESHOLD = 0.5
 OVERLAP = 0.5
 PART_POSTINGS = 2_000_000
@@ -146,16 +146,16 @@ class Index:
             self.common[segment] = mass
             for term, weight in found[i:]:
                 self.essential.setdefault(term, []).append((segment, weight))
+        self.essential_terms = set(self.essential)
         self.parts: dict[int, tuple[list[str], list[str]]] = {}
 
-    def reachable(self, terms: set[str]) -> bool:
-        """Whether these essential terms, with all common ones, can reach the threshold for some segment."""
+    def reach(self, terms: set[str]) -> float:
+        """The most that these essential terms give a segment."""
         sums: dict[int, float] = {}
         for t in terms:
             for segment, weight in self.essential[t]:
                 sums[segment] = sums.get(segment, 0.0) + weight
-        common = self.common
-        return any(x + common[s] >= self.threshold - 1e-9 for s, x in sums.items())
+        return max(sums.values(), default=0.0)
 
     def retrieve(self, terms: list[str]) -> list[tuple[int, float]]:
         """(segment, score) of all segments that reach the threshold, by block-max WAND."""
@@ -214,15 +214,14 @@ class Index:
     def matches(self, text: str | None, overlap: float) -> list[tuple[int, float, float, float]]:
         """(item, score, question overlap, answer overlap) of every verified item of a text, its best passage each."""
         words = words_of(text)
-        essential = self.essential.keys()
-        chunks = [set(words[i : i + CHUNK]) for i in range(0, len(words), CHUNK)]
-        rare = [essential & c for c in chunks]
+        rare = [self.essential_terms.intersection(words[i : i + CHUNK]) for i in range(0, len(words), CHUNK)]
+        peaks = [self.reach(r) for r in rare]
+        least = self.threshold - max(self.common.values(), default=0.0) - 1e-9
         best: dict[int, tuple[float, float, float]] = {}
-        for i in range(max(1, len(chunks) - 1) if chunks else 0):
-            both = rare[i] | rare[i + 1] if i + 1 < len(chunks) else rare[i]
-            if not both or not self.reachable(both):
+        for i in range(max(1, len(rare) - 1) if rare else 0):
+            if sum(peaks[i : i + 2]) < least or self.reach(set().union(*rare[i : i + 2])) < least:
                 continue
-            terms = chunks[i].union(*chunks[i + 1 : i + 2]) & self.top.keys()
+            terms = self.top.keys() & set(words[i * CHUNK : (i + 2) * CHUNK])
             hits: dict[int, float] = {}
             for segment, score in self.retrieve(sorted(terms)):
                 item = self.item_of[segment]
