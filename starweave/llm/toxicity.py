@@ -30,9 +30,10 @@ from .common import SLICE_BYTES
 
 BITS = 20
 GRAMS = (3, 4, 5, 6, 7)
-MAX_TRAIN = 16_000
+MAX_TRAIN = 8_000
 FEATURES = 1 << 13
 CELL = 1 << 12
+PART_ROWS = 500
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -135,26 +136,33 @@ def _kept_task(shared):
 
 def _regression(features: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, penalty: float = 0.5,
                 rounds: int = 120) -> tuple[np.ndarray, float]:
-    """Weights of a logistic regression on values ``ratio`` of the features present, by accelerated gradient steps."""
-    column = np.concatenate(features)
-    sizes = np.array([len(f) for f in features])
-    row = np.repeat(np.arange(len(y)), sizes)
+    """Weights of a logistic regression on values ``ratio`` of the features present, by accelerated gradient steps.
+    Rows are taken in parts, so the working arrays stay small."""
     importance = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1)) * len(y)
-    value = ratio[column]
     # features scaled so that an average document has length 1
-    scale = np.sqrt(max(float((value.astype(np.float64) ** 2).sum()) / len(y), 1e-9))
-    value = (value / scale).astype(np.float32)
+    square = ratio.astype(np.float64) ** 2
+    scale = np.sqrt(max(sum(float(square[f].sum()) for f in features) / len(y), 1e-9))
+    value = ratio / scale
+    parts = []
+    for at in range(0, len(y), PART_ROWS):
+        part = features[at : at + PART_ROWS]
+        row = np.repeat(np.arange(len(part), dtype=np.int32), [len(f) for f in part])
+        parts.append((slice(at, at + len(part)), row, np.concatenate(part)))
     w, b = np.zeros(len(ratio)), 0.0
     look_w, look_b, step = w, b, 1.0
     for t in range(1, rounds + 1):
-        z = np.bincount(row, value * look_w[column], len(y)) + look_b
-        gap = importance * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / len(y)
-        grad_w = np.bincount(column, value * gap[row], len(ratio)) + penalty / len(y) * look_w
-        new_w, new_b = look_w - step * grad_w, look_b - step * gap.sum()
+        grad_w, grad_b, scaled = penalty / len(y) * look_w, 0.0, look_w * value
+        for rows, row, column in parts:
+            n = len(y[rows])
+            z = np.bincount(row, scaled[column], n) + look_b
+            gap = importance[rows] * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[rows]) / len(y)
+            grad_w = grad_w + value * np.bincount(column, gap[row], len(ratio))
+            grad_b += gap.sum()
+        new_w, new_b = look_w - step * grad_w, look_b - step * grad_b
         push = (t - 1) / (t + 2)
         look_w, look_b = new_w + push * (new_w - w), new_b + push * (new_b - b)
         w, b = new_w, new_b
-    return w * ratio / scale, float(b)
+    return w * value, float(b)
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, max_train: int = MAX_TRAIN, features: int = FEATURES) -> Model:
@@ -163,7 +171,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_train: int = MAX_TRAIN, featu
     sample = training_rows(docs, labels, max_train)
     sums = sample.mapInArrow(_count_task, "cell int, other binary, toxic binary").groupBy("cell").applyInPandas(
         _sum_cells, "cell int, other binary, toxic binary").collect()  # 2**BITS counts of each class
-    counts, n = np.zeros((2, 1 << BITS), np.float64), np.zeros(2)
+    counts, n = np.zeros((2, 1 << BITS), np.float32), np.zeros(2)
     for r in sums:
         for y, c in enumerate(("other", "toxic")):
             got = np.frombuffer(r[c], np.int32)
@@ -184,10 +192,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_train: int = MAX_TRAIN, featu
     number[chosen] = np.arange(len(chosen))
     shared = spark.sparkContext.broadcast(number)
     kept = sample.mapInArrow(_kept_task(shared), "toxic int, features binary").toPandas()  # max_train rows
-    found = [np.frombuffer(x, np.int32) for x in kept["features"]]
     # rows in a set order, so that the fit does not depend on how Spark returns them
-    order = sorted(range(len(found)), key=lambda i: (kept["toxic"][i], kept["features"][i]))
-    w, b = _regression([found[i] for i in order], kept["toxic"].to_numpy()[order], ratio[chosen])
+    kept = kept.sort_values(["toxic", "features"])
+    w, b = _regression([np.frombuffer(x, np.int32) for x in kept["features"]], kept["toxic"].to_numpy(), ratio[chosen])
     weights[chosen] = w
     return Model(weights, b)
 
