@@ -199,6 +199,14 @@ def lookup(main: DataFrame, side: DataFrame, how: str = "left", *, side_val=None
     vals = [] if kind in ("left_semi", "left_anti") else [name_of(side, r) for r in parse_refs(side_val)]
     if len(set(sk)) != len(sk):
         raise ValueError("side key names repeat")
+    # keys that are compared as text (or blank as NULL) must be unique as such
+    types_m, types_s = dict(main.dtypes), dict(side.dtypes)
+    text = {b: side[b].cast("string") for a, b in zip(mk, sk) if blank_matches or types_m[a] != types_s[b]}
+    text_vals = {v: f"__raw_{v}" for v in vals if v in text}
+    if text:
+        side = side.select(*side.columns, *[side[v].alias(n) for v, n in text_vals.items()]).withColumns(
+            {b: F.coalesce(c, F.lit("")) if blank_matches else c for b, c in text.items()})
+        vals = [text_vals.get(v, v) for v in vals]
     slim = one_row_per_key(side, sk, [v for v in vals if v not in sk] or [], on_duplicate)
     # values that are also key columns come straight from the key
     slim = slim.select(*sk, *[F.col(v).alias(f"__val{i}") for i, v in enumerate(vals)]) if vals else slim
@@ -206,7 +214,7 @@ def lookup(main: DataFrame, side: DataFrame, how: str = "left", *, side_val=None
     ren = []
     for c in slim.columns:
         if c.startswith("__val"):
-            nm = fresh_name(taken, vals[int(c[5:])])
+            nm = fresh_name(taken, vals[int(c[5:])].removeprefix("__raw_"))
         else:
             nm = fresh_name(taken, "__key_" + c)
         taken.append(nm)

@@ -88,6 +88,11 @@ def split_attributes(df: DataFrame, delimiter: str, *refs: ColRef, width: int |
     Without ``width`` the field becomes an array of its parts.
     """
     targets = set(names_of(df, refs))
+    if width is not None:  # a filter, so that it runs whichever parts are read later
+        for c in sorted(targets):
+            msg = F.concat(F.lit(f"field {c} splits into more than {width} parts: "), df[c])
+            over = F.coalesce(F.size(split_literal(df[c], delimiter)) > width, F.lit(False))
+            df = df.filter(F.when(over, F.raise_error(msg).cast("boolean")).otherwise(F.lit(True)))
     out: list[Column] = []
     for c in df.columns:
         if c not in targets:
@@ -97,14 +102,7 @@ def split_attributes(df: DataFrame, delimiter: str, *refs: ColRef, width: int |
         if width is None:
             out.append(parts.alias(c))
         else:
-            guard = F.when(F.size(parts) > width,
-                           F.raise_error(F.concat(F.lit(f"field {c} splits into more than {width} parts: "),
-                                                  df[c])))
-            for i in range(width):
-                part = F.get(parts, i)
-                if i == 0:
-                    part = F.coalesce(guard.cast("string"), part)
-                out.append(part.alias(f"{c}_{i + 1}"))
+            out += [F.get(parts, i).alias(f"{c}_{i + 1}") for i in range(width)]
     return df.select(*out)
 
 

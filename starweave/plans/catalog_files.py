@@ -19,16 +19,16 @@ from .oracle import d_element, d_forename, d_name1, d_name2, d_program, d_row_nu
 from .staging import with_staging
 
 _CTES = {
-    "f_p10": """
-f_p10 as (
+    "f_entries": """
+f_entries as (
   select competition_nm as comp, program_event_nm as prog, count(*) as entries
   from (select distinct competition_nm, program_event_nm, performance_id from s_performances) d
   group by competition_nm, program_event_nm)""",
     "f_ev": f"""
 f_ev as (
-  select {d_row_number('e.comp', 'e.prog')} as event_id, e.comp, e.prog, p10.entries
+  select {d_row_number('e.comp', 'e.prog')} as event_id, e.comp, e.prog, n.entries
   from (select distinct competition_nm as comp, program_event_nm as prog from s_judges) e
-  left join f_p10 p10 on e.comp = p10.comp and e.prog = p10.prog)""",
+  left join f_entries n on e.comp = n.comp and e.prog = n.prog)""",
     "f_pers": f"""
 f_sk as (
   select {d_name1('skater_nm')} as n1, {d_name2('skater_nm')} as n2,
@@ -61,43 +61,43 @@ f_perf as (
         left join f_pmin a on {d_name1('p.skater_nm')} = a.nm
         left join f_pmin b on {d_name2('p.skater_nm')} = b.nm) x)""",
     "f_asp": f"""
-f_p50 as (
+f_shaped as (
   select distinct judged_aspect_id as ja, performance_id as pid, upper(substr(aspect_type_nm, 1, 1)) as letter,
          aspect_desc as descr, {d_trunc('perf_aspect_seq_nbr')} as seq, base_difficulty as bdiff,
          total_score as score
   from s_judged_aspects),
 f_asp as (
   select {d_row_number('letter', 'descr')} as aspect_id, letter, descr
-  from (select distinct letter, descr from f_p50) d)""",
+  from (select distinct letter, descr from f_shaped) d)""",
     "f_pa": f"""
 f_pa as (
   select {d_row_number('perf_sk', 'seq', 'aspect_id', 'ja')} as pa_id, *
-  from (select p50.ja, p50.seq, p50.bdiff, p50.score, pf.performance_id as perf_sk, asp.aspect_id
-        from f_p50 p50
-        left join f_perf pf on p50.pid = pf.pid
-        left join f_asp asp on p50.letter = asp.letter and p50.descr = asp.descr) x)""",
+  from (select shaped.ja, shaped.seq, shaped.bdiff, shaped.score, pf.performance_id as perf_sk, asp.aspect_id
+        from f_shaped shaped
+        left join f_perf pf on shaped.pid = pf.pid
+        left join f_asp asp on shaped.letter = asp.letter and shaped.descr = asp.descr) x)""",
     "f_sc": f"""
-f_p40 as (
+f_role_persons as (
   select j.clean_role as role, pr.person_id, ev.event_id
   from s_judges j
   left join f_pers pr on j.judge_nm = pr.nm
   left join f_ev ev on j.competition_nm = ev.comp and j.program_event_nm = ev.prog),
-f_r40 as (select event_id, role, min(person_id) as person_id from f_p40 group by event_id, role),
+f_role_judge as (select event_id, role, min(person_id) as person_id from f_role_persons group by event_id, role),
 f_sc as (
   select pa.pa_id, r.person_id, sc.score
   from (select distinct judged_aspect_id as ja, clean_role as role, score from s_judge_scores) sc
   left join f_pa pa on sc.ja = pa.ja
   left join f_perf pf on pa.perf_sk = pf.performance_id
-  left join f_r40 r on pf.event_id = r.event_id and sc.role = r.role)""",
+  left join f_role_judge r on pf.event_id = r.event_id and sc.role = r.role)""",
 }
 
 _NEEDS = {
     "d_person": ["f_pers"],
-    "d_event": ["f_p10", "f_ev"],
+    "d_event": ["f_entries", "f_ev"],
     "d_aspect": ["f_asp"],
-    "f_perf": ["f_p10", "f_ev", "f_pers", "f_perf"],
-    "f_perf_aspect": ["f_p10", "f_ev", "f_pers", "f_perf", "f_asp", "f_pa"],
-    "f_perf_aspect_score": ["f_p10", "f_ev", "f_pers", "f_perf", "f_asp", "f_pa", "f_sc"],
+    "f_perf": ["f_entries", "f_ev", "f_pers", "f_perf"],
+    "f_perf_aspect": ["f_entries", "f_ev", "f_pers", "f_perf", "f_asp", "f_pa"],
+    "f_perf_aspect_score": ["f_entries", "f_ev", "f_pers", "f_perf", "f_asp", "f_pa", "f_sc"],
 }
 
 _SELECT = {

@@ -141,6 +141,16 @@ def q_load_proc(spark, sf):
     return spark.table(t)
 
 
+@register("replace_table", MODEL_ORACLE["d_aspect"])
+def q_replace_table(spark, sf):
+    # O12 for tables: a table of another shape is replaced, then loaded.
+    t = _table_name("d_aspect")
+    TB.create_table(spark, t, SC.SCHEMAS["d_event"])
+    TB.create_table(spark, t, SC.SCHEMAS["d_aspect"], replace=True)
+    TB.load_if_empty(M.build_model(spark, sf, "d_aspect").tables_partial("d_aspect"), t)
+    return spark.table(t)
+
+
 @register("sql_udf", with_staging(f"""
 select performance_id, {d_initcap('skater_nm')} as skater_cap from s_performances""", "s_performances"))
 def q_sql_udf(spark, sf):
@@ -178,9 +188,9 @@ def q_warehouse_route(spark, sf):
 
 
 # ------------------------------------------------------------------ M1 - M3
-def _events_stream(spark, sf, limit=None):
+def _events_stream(spark, sf):
     schema = read_table(spark, sf, "events").schema
-    return D.message_stream(spark, sf, schema, fmt="parquet", glob="events.parquet", limit=limit)
+    return D.message_stream(spark, sf, schema, fmt="parquet", glob="events.parquet")
 
 
 @register("drain_messages", "select * from events")
@@ -191,15 +201,17 @@ def q_drain_messages(spark, sf):
     return spark.read.parquet(sink)
 
 
-@register("capped_pull", "select *, cast(0 as bigint) as batch_id from events")
+@register("capped_pull", """
+select *, (row_number() over (order by event_id) - 1) // 1000 as pull_no from events""")
 def q_capped_pull(spark, sf):
+    # Pulls of 1000 messages: each micro-batch is dealt into numbered pulls.
     sink, ckpt = scratch_path(spark, "pull_sink"), scratch_path(spark, "pull_ckpt")
-    stream = _events_stream(spark, sf, limit=5000)  # capped to 1000 files per micro-batch
 
     def write(batch, batch_id):
-        batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(sink)
+        D.capped_pulls(batch, 1000, ["event_id"]).write.mode("append").parquet(sink)
 
-    q = stream.writeStream.foreachBatch(write).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+    q = (_events_stream(spark, sf).writeStream.foreachBatch(write).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(sink)
 

@@ -11,7 +11,7 @@ fact does not walk score → aspect → performance → event → judge → pers
 five joins of big tables: the aspect fact already knows its event, so the
 scores take (perf_aspect_id, event_id) in one shuffle join on the aspect id
 and the judge in one join to the (event, role) → judge map, which is
-events × panel sized.
+(event, judge) sized.
 """
 
 from __future__ import annotations
@@ -107,7 +107,7 @@ def perf_view(perfs: DataFrame, events: DataFrame, people: DataFrame) -> DataFra
         "component_score", "element_score", "deductions",
         F.col("performance_id").alias("raw_performance_id"),
         S.name1(nm).alias("__n1"),
-        F.coalesce(S.name2(nm), F.lit("")).alias("__n2"),
+        S.after_slash(nm).alias("__n2"),  # NULL for a single skater: joins nothing, no hot blank key
     )
     j = (base
          .join(ev, (base.competition_nm == ev.ev_comp) & (base.program_event_nm == ev.raw_event_nm), "left")
@@ -151,12 +151,12 @@ F_PERF_ASPECT_COLS = ["perf_aspect_id", "perf_id", "perf_aspect_seq_nbr", "aspec
 
 # ----------------------------------------------------- D6 f_perf_aspect_score
 def judge_roles(judges: DataFrame, events: DataFrame, people: DataFrame) -> DataFrame:
-    """(event_id, clean_role) → judge person_id: events × panel rows."""
+    """(event_id, clean_role) → judge person_id, one row per event and judge."""
     ev = broadcast_if_small(events.select("event_id", F.col("competition_nm").alias("ev_comp"), "raw_event_nm"))
     pj = people.select(F.col("person_id").alias("judge_id"), F.col("raw_nm").alias("__jnm"))
     j = (judges.join(ev, (judges.competition_nm == ev.ev_comp) & (judges.program_event_nm == ev.raw_event_nm))
          .join(pj, judges.judge_nm == pj["__jnm"], "left"))
-    # events x panel rows: checked, then broadcast to the score rows
+    # broadcast to the score rows if the check finds it small
     return broadcast_if_small(j.select(F.col("event_id").alias("__ev"), F.col("clean_role").alias("__role"),
                                        "judge_id"))
 

@@ -6,10 +6,10 @@ supplier, lineitem/part. ``STAGING_SQL`` is the portable SQL text that the
 DuckDB oracle runs as leading CTEs; the DataFrame builders below compute the
 same rows in Spark.
 
-Judge panel: an event is scored by a fixed panel of three judges, the
-suppliers with keys 0, 1 and 2. The panel is part of the model (like a real
-panel of nine), not a sample: its size does not depend on the data, so it is
-broadcast, and every event and every aspect is kept whole.
+Judges are the suppliers that occur on line items: a supplier judges every
+event that one of its line items' orders belongs to, and scores the aspects of
+its line items. An aspect is a line of an order with its part, so its part and
+price come from one line item.
 """
 
 from __future__ import annotations
@@ -52,13 +52,14 @@ select s_name as clean_judge_nm, n_name as judge_affiliation_nm,
        'Judge No.' || cast(s_suppkey as string) as role,
        e.program_event_nm, e.competition_nm,
        'J' || cast(s_suppkey as string) as clean_role, n_name as nationality
-from (select distinct competition_nm, program_event_nm from s_performances) e
-cross join supplier join nation on s_nationkey = n_nationkey
-where s_suppkey < 3
+from (select distinct competition_nm, program_event_nm, l_suppkey
+      from lineitem join s_performances on l_orderkey = event_perf_seq_nbr) e
+join supplier on s_suppkey = l_suppkey join nation on s_nationkey = n_nationkey
 """
 
 S_JUDGED_ASPECTS_SQL = """
-select 'A' || cast(l.l_orderkey as string) || '-' || cast(l.l_linenumber as string) as judged_aspect_id,
+select 'A' || cast(l.l_orderkey as string) || '-' || cast(l.l_linenumber as string) || '-'
+       || cast(l.l_partkey as string) as judged_aspect_id,
        'P' || cast(l.l_orderkey as string) as performance_id,
        case when l.l_linenumber <= 4 then 'elements' else 'components' end as aspect_type_nm,
        case when l.l_linenumber <= 4 then cast(l.l_linenumber as double) end as perf_aspect_seq_nbr,
@@ -68,16 +69,17 @@ select 'A' || cast(l.l_orderkey as string) || '-' || cast(l.l_linenumber as stri
        case when l.l_linenumber > 4 then cast(l.l_linenumber as double) end as factor,
        cast(l.l_linenumber as double) as goe, cast(null as string) as ref,
        l.price / 1000 as total_score
-from (select l_orderkey, l_linenumber, min(l_partkey) as l_partkey, min(l_extendedprice) as price
-      from lineitem group by l_orderkey, l_linenumber) l
+from (select l_orderkey, l_linenumber, l_partkey, min(l_extendedprice) as price
+      from lineitem group by l_orderkey, l_linenumber, l_partkey) l
 join part on l.l_partkey = p_partkey
 """
 
 S_JUDGE_SCORES_SQL = """
-select judged_aspect_id, 'J' || cast(s_suppkey as string) as clean_role,
-       (total_score + s_suppkey) / 10 as score
-from s_judged_aspects cross join supplier
-where s_suppkey < 3
+select a.judged_aspect_id, 'J' || cast(l.l_suppkey as string) as clean_role,
+       (a.total_score + l.l_suppkey) / 10 as score
+from (select distinct 'A' || cast(l_orderkey as string) || '-' || cast(l_linenumber as string) || '-'
+             || cast(l_partkey as string) as line_id, l_suppkey from lineitem) l
+join s_judged_aspects a on a.judged_aspect_id = l.line_id
 """
 
 STAGING_SQL = {
@@ -95,8 +97,6 @@ STAGING_DEPS = {
     "s_judge_scores": ["s_judged_aspects"],
 }
 
-PANEL_SIZE = 3  # judges per event: suppliers 0 .. PANEL_SIZE-1
-
 
 def with_staging(sql: str, *tables: str) -> str:
     """Prefix ``sql`` with the CTEs for the named staging tables (and the
@@ -162,29 +162,19 @@ def s_performances(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def panel_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The judges' supplier keys: at most ``PANEL_SIZE`` rows (s_suppkey is
-    the key, and the count is checked), so the panel is broadcast."""
-    s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey") \
-        .filter(F.col("s_suppkey") < PANEL_SIZE)
-    if s.limit(PANEL_SIZE + 1).count() > PANEL_SIZE:
-        raise ValueError(f"the judge panel has more than {PANEL_SIZE} members")
-    return F.broadcast(s)
-
-
-def judge_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The panel with each judge's nation (bounded like ``panel_keys``)."""
-    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return F.broadcast(panel_keys(spark, sf_dir).join(n, F.col("s_nationkey") == F.col("n_nationkey")))
-
-
 def s_judges(spark: SparkSession, sf_dir: str, perfs: DataFrame | None = None) -> DataFrame:
-    """One row per (event, panel judge). The events are the distinct
-    (competition, program) pairs of the performances (a partial aggregate
-    before its shuffle); each meets the bounded panel."""
+    """One row per (event, judge): the distinct suppliers of the line items of
+    an event's performances. One equi-join on the order, distinct with partial
+    aggregation, then the supplier and nation attributes."""
     perfs = perfs if perfs is not None else s_performances(spark, sf_dir)
-    events = perfs.select("competition_nm", "program_event_nm").distinct()
-    j = events.crossJoin(judge_panel(spark, sf_dir))
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
+    events = li.join(perfs.select("event_perf_seq_nbr", "competition_nm", "program_event_nm"),
+                     F.col("l_orderkey") == F.col("event_perf_seq_nbr")) \
+        .select("competition_nm", "program_event_nm", "l_suppkey").distinct()
+    s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    j = (events.join(s, F.col("l_suppkey") == F.col("s_suppkey"))
+         .join(n, F.col("s_nationkey") == F.col("n_nationkey")))
     return j.select(
         F.col("s_name").alias("clean_judge_nm"),
         F.col("n_name").alias("judge_affiliation_nm"),
@@ -196,19 +186,23 @@ def s_judges(spark: SparkSession, sf_dir: str, perfs: DataFrame | None = None) -
     )
 
 
+def _aspect_id():
+    return F.concat(F.lit("A"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"),
+                    F.lit("-"), F.col("l_partkey").cast("string"))
+
+
 def s_judged_aspects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (order, line number): (l_orderkey, l_linenumber) is not
-    unique in the data, so it is grouped first (partial aggregation), then
-    joined to part."""
+    """One row per (order, line number, part), grouped with partial
+    aggregation and joined to part. Line items equal in all three are one
+    aspect, scored by each of their suppliers."""
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
-    l = li.groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("l_partkey"),
-                                                     F.min("l_extendedprice").alias("price"))
+    l = li.groupBy("l_orderkey", "l_linenumber", "l_partkey").agg(F.min("l_extendedprice").alias("price"))
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
     j = l.join(p, l.l_partkey == p.p_partkey)
     ln = F.col("l_linenumber")
     elem = ln <= 4
     return j.select(
-        F.concat(F.lit("A"), F.col("l_orderkey").cast("string"), F.lit("-"), ln.cast("string")).alias("judged_aspect_id"),
+        _aspect_id().alias("judged_aspect_id"),
         F.concat(F.lit("P"), F.col("l_orderkey").cast("string")).alias("performance_id"),
         F.when(elem, "elements").otherwise("components").alias("aspect_type_nm"),
         F.when(elem, ln.cast("double")).alias("perf_aspect_seq_nbr"),
@@ -224,24 +218,31 @@ def s_judged_aspects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s_judge_scores(spark: SparkSession, sf_dir: str, aspects: DataFrame | None = None) -> DataFrame:
-    """One score per (aspect, panel judge): each aspect row meets the bounded
-    panel (broadcast nested loop over at most ``PANEL_SIZE`` rows)."""
+    """One score per (aspect, supplier of its line items): the distinct pairs
+    of the line items meet the aspects on their id."""
     aspects = aspects if aspects is not None else s_judged_aspects(spark, sf_dir)
-    s = panel_keys(spark, sf_dir).select("s_suppkey")
-    j = aspects.select("judged_aspect_id", "total_score").crossJoin(s)
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").distinct().select(
+        _aspect_id().alias("line_id"), "l_suppkey")
+    j = aspects.select("judged_aspect_id", "total_score").join(li, F.col("judged_aspect_id") == F.col("line_id"))
     return j.select(
         "judged_aspect_id",
-        F.concat(F.lit("J"), F.col("s_suppkey").cast("string")).alias("clean_role"),
-        ((F.col("total_score") + F.col("s_suppkey")) / 10).alias("score"),
+        F.concat(F.lit("J"), F.col("l_suppkey").cast("string")).alias("clean_role"),
+        ((F.col("total_score") + F.col("l_suppkey")) / 10).alias("score"),
     )
 
 
-def staging(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+STAGING = ("s_performances", "s_judges", "s_judged_aspects", "s_judge_scores")
+
+
+def staging(spark: SparkSession, sf_dir: str, only: list[str] | None = None) -> dict[str, DataFrame]:
+    """The staging tables, or those named in ``only``."""
     perfs = s_performances(spark, sf_dir)
     aspects = s_judged_aspects(spark, sf_dir)
-    return {
-        "s_performances": perfs,
-        "s_judges": s_judges(spark, sf_dir, perfs),
-        "s_judged_aspects": aspects,
-        "s_judge_scores": s_judge_scores(spark, sf_dir, aspects),
+    make = {
+        "s_performances": lambda: perfs,
+        "s_judges": lambda: s_judges(spark, sf_dir, perfs),
+        "s_judged_aspects": lambda: aspects,
+        "s_judge_scores": lambda: s_judge_scores(spark, sf_dir, aspects),
     }
+    return {n: make[n]() for n in STAGING if only is None or n in only}

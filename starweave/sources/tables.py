@@ -21,10 +21,38 @@ from pyspark.sql.types import StructType
 from ..functions.scalars import INITCAP_SQL_BODY
 
 
+# The catalog does not keep NOT NULL for parquet tables, so ``create_table``
+# notes the required columns in this table property and every load checks them.
+_REQUIRED = "starweave.required"
+
+
 class LoadError(RuntimeError):
     pass
 
 
+def required_of(spark: SparkSession, table: str) -> list[str]:
+    """The required columns noted with a table; else those of its spec, by its
+    own name."""
+    from .schemas import SPECS, required_columns
+
+    props = {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    if _REQUIRED in props:
+        return [c for c in props[_REQUIRED].split(",") if c]
+    short = table.split(".")[-1]
+    return required_columns(short) if short in SPECS else []
+
+
+def _checked(df: DataFrame, table: str) -> DataFrame:
+    """``df`` under the target's column names (loads go by position), raising
+    on a NULL in a required one."""
+    from .schemas import require
+
+    names = df.sparkSession.table(table).columns
+    if len(names) != len(df.columns):
+        raise LoadError(f"table {table} has {len(names)} columns, the load has {len(df.columns)}")
+    return require(df.toDF(*names), required_of(df.sparkSession, table), table.split(".")[-1])
+
+
 def _ddl(schema: StructType) -> str:
     cols = []
     for f in schema.fields:
@@ -38,7 +66,8 @@ def create_table(spark: SparkSession, name: str, schema: StructType, *, replace:
     tables, so ``replace`` drops first."""
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({_ddl(schema)}) USING parquet")
+    required = ",".join(f.name for f in schema.fields if not f.nullable)
+    spark.sql(f"CREATE TABLE {name} ({_ddl(schema)}) USING parquet TBLPROPERTIES ('{_REQUIRED}' = '{required}')")
 
 
 def _must_exist(spark: SparkSession, table: str) -> None:
@@ -59,7 +88,7 @@ def load_overwrite(df: DataFrame, table: str, cols: Sequence[str] | str | None =
     position). The table definition is kept."""
     spark = df.sparkSession
     _must_exist(spark, table)
-    _select_cols(df, cols).write.insertInto(table, overwrite=True)
+    _checked(_select_cols(df, cols), table).write.insertInto(table, overwrite=True)
 
 
 def load_if_empty(df: DataFrame, table: str, cols: Sequence[str] | str | None = None) -> None:
@@ -68,7 +97,7 @@ def load_if_empty(df: DataFrame, table: str, cols: Sequence[str] | str | None =
     _must_exist(spark, table)
     if not spark.table(table).isEmpty():
         raise LoadError(f"table {table} is not empty")
-    _select_cols(df, cols).write.insertInto(table, overwrite=False)
+    _checked(_select_cols(df, cols), table).write.insertInto(table, overwrite=False)
 
 
 def truncate(spark: SparkSession, table: str) -> None:
@@ -80,7 +109,7 @@ def truncate(spark: SparkSession, table: str) -> None:
 def load_procedure(spark: SparkSession, table: str, source: DataFrame) -> None:
     """Truncate, then insert-select — two steps, like the procedure."""
     truncate(spark, table)
-    source.write.insertInto(table, overwrite=False)
+    _checked(source, table).write.insertInto(table, overwrite=False)
 
 
 def replace_view(df: DataFrame, name: str) -> None:
@@ -95,24 +124,20 @@ def replace_function(spark: SparkSession, name: str = "initcap_words") -> None:
 
 
 def import_csv(spark: SparkSession, table: str, path: str | Sequence[str], *, sep: str = ",",
-               required: Sequence[str] | None = None, multiline: bool = True) -> None:
-    """O2: load CSV files (header, quoted newlines allowed) into an existing
-    table, replacing its rows. The table's own schema types the read, and
-    values that do not fit raise. The catalog does not keep NOT NULL for
-    parquet tables, so the required columns come from ``required`` or from
-    the table's spec (``schemas.SPECS``, by the table's own name); a NULL in
-    one raises naming it.
-
-    With ``multiline`` (the default, as quoted newlines are allowed) each file
-    is read by one task, so a large import should come as many files; with
-    ``multiline=False`` files are split across tasks, for sources known to
-    hold no newline inside a field."""
-    from .schemas import SPECS, require, required_columns
+               required: Sequence[str] | None = None, multiline: bool = False) -> None:
+    """O2: load CSV files with a header into an existing table, replacing its
+    rows. The table's own schema types the read, and values that do not fit
+    raise. The required columns come from ``required`` or from the table (see
+    ``required_of``); a NULL in one raises naming it.
+
+    Files are split across tasks. Sources with newlines inside quoted fields
+    need ``multiline=True``: each file is then read by one task, so a large
+    import should come as many files."""
+    from .schemas import require
     from .text import read_csv
 
     _must_exist(spark, table)
-    short = table.split(".")[-1]
     if required is None:
-        required = required_columns(short) if short in SPECS else []
+        required = required_of(spark, table)
     df = read_csv(spark, path, spark.table(table).schema, sep=sep, multiline=multiline)
-    require(df, list(required), short).write.insertInto(table, overwrite=True)
+    require(df, list(required), table.split(".")[-1]).write.insertInto(table, overwrite=True)

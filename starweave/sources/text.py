@@ -3,9 +3,9 @@
 Two ways in, as in the two routes:
 
 * ``read_csv`` — the tables route: the whole file parsed by Spark's CSV
-  source with an explicit schema, quoted newlines allowed (``multiLine``),
-  doubled quotes as escapes, leading blanks skipped. Splittable per file when
-  ``multiLine`` is off; with it on, each file is one task, so load many files.
+  source with an explicit schema, doubled quotes as escapes, leading blanks
+  skipped. Files are split across tasks; sources with newlines inside quoted
+  fields need ``multiline=True``, which makes each file one task.
 * ``read_lines`` + ``switch_delimiters`` + ``convert_rec`` — the files route:
   line-based text, re-delimited per line by column expressions.
 
@@ -25,7 +25,7 @@ from ..functions.scalars import quote_regex, split_literal
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType, *, header: bool = True,
-             sep: str = ",", multiline: bool = True, mode: str = "FAILFAST") -> DataFrame:
+             sep: str = ",", multiline: bool = False, mode: str = "FAILFAST") -> DataFrame:
     """O1/O2: CSV with a header line, parsed against ``schema`` (never
     inferred). ``FAILFAST`` raises on a value that does not fit its type."""
     return (spark.read.schema(schema)
@@ -40,64 +40,71 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType,
 
 
 def write_csv(df: DataFrame, path: str, *, sep: str = ",", mode: str = "error") -> None:
-    """CSV with a header, quoting where needed (the form ``read_csv`` reads)."""
-    (df.write.mode(mode).option("header", True).option("sep", sep).option("quote", '"')
-     .option("escape", '"').csv(path))
-
-
-# A separator no text line holds: with it (and quoting off) Spark's CSV source
-# returns each line as a single field.
-_NO_SEP = "\u0001\u0002\u0003"
+    """CSV with a header, quoting where needed (the form ``read_csv`` reads);
+    blanks at the ends of values are kept."""
+    (df.write.mode(mode).option("header", True).option("sep", sep).option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def read_lines(spark: SparkSession, path: str | Sequence[str], skip_header: bool = True,
                name: str = "line") -> DataFrame:
-    """O1: one row per text line, as is. With ``skip_header`` the first line
-    of every file is dropped.
+    """O1: one row per text line, as is, blank lines included. With
+    ``skip_header`` the first line of every file is dropped.
 
-    Spark's CSV source already knows which split starts a file and drops that
-    split's first line when ``header`` is on; with a separator that no line
-    holds and quoting off, every line comes back whole as one field. Files are
-    split across tasks as usual.
+    The first line of a file is the first row of the split that starts at
+    byte 0: its row number is found in a pass over those splits, one number
+    per file, and anti-joined. Files are split across tasks as usual.
     """
+    lines = spark.read.text(path)
     if not skip_header:
-        return spark.read.text(path).withColumnRenamed("value", name)
-    return (spark.read.schema(f"`{name}` string")
-            .option("header", True)
-            .option("sep", _NO_SEP)
-            .option("quote", "")
-            .option("escape", "")
-            .option("ignoreLeadingWhiteSpace", False)
-            .option("ignoreTrailingWhiteSpace", False)
-            .option("nullValue", "\u0000")
-            .option("enforceSchema", True)
-            .csv(path))
-
-
-def _outside_quotes(sep: str) -> str:
-    # A delimiter followed by an even number of quotes up to the end of the
-    # line is outside any quoted field.
-    return quote_regex(sep) + '(?=(?:[^"]*"[^"]*")*[^"]*$)'
+        return lines.withColumnRenamed("value", name)
+    at = lines.select(F.col("value").alias(name), F.col("_metadata.file_path").alias("__file"),
+                      F.col("_metadata.file_block_start").alias("__start"),
+                      F.monotonically_increasing_id().alias("__row"))
+    heads = at.filter("__start = 0").groupBy("__file").agg(F.min("__row").alias("__row"))
+    return at.join(heads.select("__row"), "__row", "left_anti").select(name)
 
 
 def switch_delimiters(line: Column, old: str, new: str) -> Column:
     """Re-delimit one CSV line from ``old`` to ``new``.
 
-    Any ``new`` already in the line is removed first; the line is split on
-    ``old`` outside double quotes, spaces right after a delimiter are skipped,
-    the fields are joined with ``new`` and every ``"`` is deleted.
-    With (',', '|') the line ``1, "Smith, J",3`` becomes ``1|Smith, J|3``;
-    a doubled quote inside a quoted field is deleted like any other quote.
+    Any ``new`` already in the line is removed first; the line is parsed as
+    CSV (blanks right after a delimiter are skipped, a quote opens a quoted
+    field only at the start of a field, a doubled quote inside one does not
+    close it), the fields are joined with ``new`` and every ``"`` is deleted.
+    With (',', '|') the line ``1, "Smith, J",3`` becomes ``1|Smith, J|3`` and
+    ``a,5" disc,b`` becomes ``a|5 disc|b``.
 
-    A line without any quote is split on the literal delimiter; only lines
-    holding a quote take the quote-aware split, whose lookahead rescans the
-    rest of the line at every delimiter.
+    A line without any quote is split on the literal delimiter. Else one pass
+    over the pieces between quotes marks each as inside or outside a quoted
+    field; only outside pieces have their delimiters switched.
     """
-    cleaned = F.regexp_replace(line, quote_regex(new), "")
-    plain = F.transform(split_literal(cleaned, old), lambda f: F.ltrim(f))
-    quoted = F.transform(F.split(cleaned, _outside_quotes(old), -1),
-                         lambda f: F.regexp_replace(F.ltrim(f), '"', ""))
-    return F.array_join(F.when(F.instr(cleaned, '"') == 0, plain).otherwise(quoted), new)
+    cleaned = F.replace(line, F.lit(new), F.lit(""))
+    plain = F.array_join(F.transform(split_literal(cleaned, old), lambda f: F.ltrim(f)), new)
+    pieces = F.split(cleaned, '"', -1)
+    at_start = quote_regex(old) + " *$"
+
+    # state: of the piece to come (s: start of the line, u: outside, q: quoted,
+    # c: after a closing quote), and the marks of the pieces so far
+    def step(acc: Column, piece: Column) -> Column:
+        state = acc["state"]
+        opens = piece.rlike(at_start) | ((state == "s") & (F.ltrim(piece) == ""))
+        after = (F.when(state == "q", "c").when((state == "c") & (piece == ""), "q")
+                 .when(opens, "q").otherwise("u"))
+        return F.struct(after.alias("state"),
+                        F.concat(acc["marks"], F.when(state == "q", "q").otherwise("u")).alias("marks"))
+
+    marks = F.aggregate(pieces, F.struct(F.lit("s").alias("state"), F.lit("").alias("marks")), step,
+                        lambda acc: F.split(acc["marks"], ""))
+
+    def outside(piece: Column, first: Column) -> Column:
+        fields = F.transform(split_literal(piece, old), lambda f, i: F.when((i > 0) | first, F.ltrim(f)).otherwise(f))
+        return F.array_join(fields, new)
+
+    indexed = F.transform(pieces, lambda p, i: F.struct(p.alias("p"), (i == 0).alias("first")))
+    quoted = F.array_join(F.zip_with(indexed, marks, lambda x, m: F.when(m == "q", x["p"]).otherwise(
+        outside(x["p"], x["first"]))), "")
+    return F.when(F.instr(cleaned, '"') == 0, plain).otherwise(quoted)
 
 
 def convert_rec(line: Column, delimiter: str) -> Column:
@@ -106,10 +113,18 @@ def convert_rec(line: Column, delimiter: str) -> Column:
     return split_literal(line, delimiter)
 
 
-def rec_fields(df: DataFrame, line: str, delimiter: str, names: Sequence[str]) -> DataFrame:
+def rec_fields(df: DataFrame, line: str, delimiter: str, names: Sequence[str], *,
+               extra: str = "error") -> DataFrame:
     """O5 to columns: field i of the record as column ``names[i]``; ``''``
-    becomes NULL, missing fields are NULL."""
+    becomes NULL, missing fields are NULL. A record with more fields than
+    names raises, also when none of its columns is read later; ``extra='drop'``
+    leaves the surplus away."""
+    if extra not in ("error", "drop"):
+        raise ValueError("extra must be 'error' or 'drop'")
     arr = convert_rec(F.col(line), delimiter)
+    if extra == "error":
+        msg = F.concat(F.lit(f"record has more than {len(names)} fields: "), F.col(line))
+        df = df.filter(F.when(F.size(arr) > len(names), F.raise_error(msg).cast("boolean")).otherwise(F.lit(True)))
     cols = []
     for i, n in enumerate(names):
         v = F.get(arr, i)

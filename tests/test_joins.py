@@ -96,3 +96,10 @@ def test_lookup_exists_not_exists(frames):
     m, s = frames
     assert J.lookup(m, s, "E", key=0).count() == 4
     assert J.lookup(m, s, "N", key=0).count() == 1
+
+
+def test_lookup_with_blank_matches_never_grows(spark):
+    main = spark.createDataFrame([("", "m")], "k string, v string")
+    side = spark.createDataFrame([("", "a"), (None, "a")], "k string, w string")
+    rows = J.lookup(main, side, "left", side_val="w", key="k", blank_matches=True).collect()
+    assert [tuple(r) for r in rows] == [("", "m", "a")]

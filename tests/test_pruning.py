@@ -37,11 +37,6 @@ def test_count_by_reads_two_columns(spark):
     assert read_schemas(plan(Q["count_by"](spark, SMALL))) == ["struct<o_orderstatus:string,o_orderpriority:string>"]
 
 
-def test_panel_filter_is_pushed_to_the_scan(spark):
-    text = plan(Q["join_cross"](spark, SMALL))
-    assert re.search(r"PushedFilters: \[IsNotNull\(s_suppkey\), LessThan\(s_suppkey,3\)\]", text)
-
-
 def test_like_filter_on_a_staging_table_reaches_the_scan(spark, tmp_path):
     from starweave.operators import project as P
     from starweave.plans import staging as stg

@@ -91,3 +91,11 @@ def test_count_by_without_columns(spark):
     assert [tuple(r) for r in A.count_by(empty).collect()] == [(0,)]  # one row holding 0, as SQL gives
     three = spark.createDataFrame([(1,), (1,), (2,)], "x int")
     assert sorted(tuple(r) for r in A.count_by(three, 0).collect()) == [(1, 2), (2, 1)]
+
+
+def test_split_attributes_width_is_checked_whatever_is_read(spark):
+    df = spark.createDataFrame([("a-b-c",)], "v string")
+    import pytest
+
+    with pytest.raises(Exception, match="more than 2 parts"):
+        R.split_attributes(df, "-", "v", width=2).select("v_2").collect()

@@ -8,7 +8,9 @@ from starweave.streaming import drain as D
 
 
 def test_pull_limit():
-    assert D.pull_limit(5) == 5 and D.pull_limit("7") == 7 and D.pull_limit(5000) == 1000
+    assert D.pull_limit(5) == 5 and D.pull_limit("7") == 7 and D.pull_limit(1000) == 1000
+    with pytest.warns(UserWarning, match="at most 1000"):
+        assert D.pull_limit(5000) == 1000
     for bad in (0, -1, "x", None, 2.5):
         with pytest.raises(ValueError):
             D.pull_limit(bad)
@@ -39,3 +41,37 @@ def test_publish_reports_outcome(spark):
 
     bad = D.publish(df, sink=boom)
     assert bad[0].reply == "N" and "down" in bad[0].detail
+
+
+def test_failed_batch_is_delivered_again(spark, tmp_dir):
+    src, ckpt = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "ckpt")
+    os.makedirs(src)
+    with open(os.path.join(src, "m.txt"), "w") as f:
+        f.write("one\ntwo\n")
+    got = []
+
+    def down(b, i):
+        raise RuntimeError("down")
+
+    first = D.publish(D.message_stream(spark, src, None, fmt="text"), sink=down, checkpoint=ckpt)
+    assert [r.reply for r in first] == ["N"] and "down" in first[0].detail
+    second = D.publish(D.message_stream(spark, src, None, fmt="text"), sink=lambda b, i: got.append(b.count()), checkpoint=ckpt)
+    assert [r.reply for r in second] == ["Y"] and got == [2]
+
+
+def test_slow_sink_is_not_cut_short(spark, tmp_dir):
+    import time
+
+    src, ckpt = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "ckpt")
+    os.makedirs(src)
+    for i in range(3):
+        with open(os.path.join(src, f"m{i}.txt"), "w") as f:
+            f.write("x\n")
+    stream = D.message_stream(spark, src, None, fmt="text", limit=1)
+    assert [r.reply for r in D.publish(stream, sink=lambda b, i: time.sleep(2), checkpoint=ckpt)] == ["Y"] * 3
+
+
+def test_capped_pulls(spark):
+    df = spark.range(2500).repartition(4)
+    sizes = {r[0]: r[1] for r in D.capped_pulls(df, 1000, ["id"]).groupBy("pull_no").count().collect()}
+    assert sizes == {0: 1000, 1: 1000, 2: 500}

@@ -1,7 +1,9 @@
 """Delimited text in and out (FIXTURES §4.3)."""
 
+import csv
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from starweave.sources import text as TX
@@ -23,7 +25,9 @@ def test_rec_to_text_keeps_positions_of_nulls(spark):
 
 def test_rec_fields_by_position(spark):
     df = spark.createDataFrame([("a|b",), ("a||c|d",)], "line string")
-    rows = TX.rec_fields(df, "line", "|", ["x", "y", "z"]).collect()
+    with pytest.raises(Exception, match="more than 3 fields"):
+        TX.rec_fields(df, "line", "|", ["x", "y", "z"]).select("x").collect()
+    rows = TX.rec_fields(df, "line", "|", ["x", "y", "z"], extra="drop").collect()
     assert [tuple(r) for r in rows] == [("a", "b", None), ("a", None, "c")]
 
 
@@ -39,7 +43,7 @@ def test_read_csv_quoted_newline_and_types(spark, tmp_dir):
     p = os.path.join(tmp_dir, "judge_scores.csv")
     with open(p, "w") as f:
         f.write('judged_aspect_id,clean_role,score\n"A1\nB",J1,1.5\nA2, "J,2",2\n')
-    rows = TX.read_csv(spark, p, SCHEMAS["s_judge_scores"]).collect()
+    rows = TX.read_csv(spark, p, SCHEMAS["s_judge_scores"], multiline=True).collect()
     assert [tuple(r) for r in rows] == [("A1\nB", "J1", 1.5), ("A2", "J,2", 2.0)]
 
 
@@ -67,3 +71,31 @@ def test_read_csv_fails_fast_on_a_bad_type(spark, tmp_dir):
 
     with pytest.raises(Exception):
         TX.read_csv(spark, p, SCHEMAS["s_judge_scores"]).collect()
+
+
+def test_switch_delimiters_follows_csv_rules(spark):
+    lines = ['a,5" disc,b', '"a,b"c"d,e",f', '"",x', '"a""b,c",d', 'a, "b', '"a" ,b', ' "x,y",z', "'a,b"]
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    got = [r[0] for r in df.select(TX.switch_delimiters(F.col("line"), ",", "|")).collect()]
+    want = ["|".join(next(csv.reader([x], skipinitialspace=True))).replace('"', "") for x in lines]
+    assert got == want
+
+
+def test_switch_delimiters_with_very_many_quotes(spark):
+    line = ",".join(['"q,"'] * 50_000)
+    df = spark.createDataFrame([(line,)], "line string")
+    got = df.select(TX.switch_delimiters(F.col("line"), ",", "|")).first()[0]
+    assert got == "|".join(["q,"] * 50_000)
+
+
+def test_read_lines_keeps_every_line(spark, tmp_dir):
+    lines = ["a", "", "   ", "b\x01\x02\x03c", "d"]
+    with open(os.path.join(tmp_dir, "f.txt"), "w") as f:
+        f.write("\n".join(["head", *lines]) + "\n")
+    assert [r[0] for r in TX.read_lines(spark, tmp_dir).collect()] == lines
+
+
+def test_write_csv_keeps_blanks(spark, tmp_dir):
+    out = os.path.join(tmp_dir, "c")
+    TX.write_csv(spark.createDataFrame([(" lead", "trail ")], "a string, b string").coalesce(1), out)
+    assert " lead,trail " in [r[0] for r in spark.read.text(out).collect()]
