@@ -184,17 +184,21 @@ def q_join_two_roles(spark, sf):
 
 
 @register("join_composite", with_staging("""
-select a.performance_id, e.judge_nm, e.clean_role
+select a.performance_id, e.judges, e.first_judge
 from s_performances a
-left join s_judges e on a.competition_nm = e.competition_nm and a.program_event_nm = e.program_event_nm""",
+left join (select competition_nm, program_event_nm, count(*) as judges, min(judge_nm) as first_judge
+           from s_judges group by competition_nm, program_event_nm) e
+  on a.competition_nm = e.competition_nm and a.program_event_nm = e.program_event_nm""",
                                          "s_performances", "s_judges"))
 def q_join_composite(spark, sf):
-    st = stg.staging(spark, sf)
+    # One row an event on the side, so the join adds no rows.
+    st = stg.staging(spark, sf, ["s_performances", "s_judges"])
     p = st["s_performances"].select("performance_id", "competition_nm", "program_event_nm")
-    j = st["s_judges"].select("competition_nm", "program_event_nm", "judge_nm", "clean_role")
+    j = st["s_judges"].groupBy("competition_nm", "program_event_nm").agg(
+        F.count(F.lit(1)).alias("judges"), F.min("judge_nm").alias("first_judge"))
     out = J.join(p, j, "Left", main_key="competition_nm,program_event_nm",
                  side_key="competition_nm,program_event_nm")
-    return out.select("performance_id", "judge_nm", "clean_role")
+    return out.select("performance_id", "judges", "first_judge")
 
 
 # ===================================================================== J6-J9
