@@ -10,18 +10,18 @@ size depends on the data; AQE replaces a sort-merge join by a broadcast hash
 join at runtime when the measured side is under
 ``spark.sql.adaptive.autoBroadcastJoinThreshold``, and splits skewed partitions
 (``spark.sql.adaptive.skewJoin.enabled``) when one key is hot. An explicit
-broadcast is taken only behind a row-count check (``broadcast_max_rows``).
+broadcast is taken only behind a check of rows and bytes (``broadcast_max_rows``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..columns import ColRef, fresh_name, name_of, parse_refs
+from ..session import materialize
 
 JOIN_TYPES = {"I": "inner", "L": "left", "E": "left_semi", "N": "left_anti", "C": "cross"}
 LOOKUP_TYPES = {"I": "inner", "L": "left", "E": "left_semi", "N": "left_anti"}
@@ -48,25 +48,36 @@ def fits_rows(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-# Rows a dimension-sized side may have and still be broadcast. A side over the
-# bound is joined by shuffle (sort-merge, with AQE's skew handling).
+# Rows and bytes a dimension-sized side may have and still be broadcast. A side
+# over either bound is joined by shuffle (sort-merge, with AQE's skew handling).
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 128 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows (checked by
-    reading at most ``max_rows + 1`` of them), else ``df`` unchanged.
+def _bytes(df: DataFrame) -> Column:
+    """Bytes of all rows: texts by their length, other values as their type's
+    usual size."""
+    texts = [f.name for f in df.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    fixed = 16 * (len(df.columns) - len(texts))
+    return F.coalesce(F.sum(sum((F.coalesce(F.octet_length(df[c]), F.lit(0)) + 16 for c in texts), F.lit(fixed)).cast("long")), F.lit(0))
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows and
+    ``max_bytes`` bytes, else ``df`` for a shuffled join.
 
     The check lets the big side skip its shuffle when the small side is
     proven small, instead of waiting for AQE to find out after both sides
-    shuffled. The side is kept (memory and disk) while it is checked, so the
-    broadcast does not compute it again; a side over the bound is released.
+    shuffled. The side is written once to the shared scratch folder, counted
+    there and read from there by the join, so it is not computed again, nothing
+    stays persisted on the executors, and ``release_scratch`` removes it.
+    Columns of other than plain types are never proven small.
     """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if fits_rows(kept, max_rows):
-        return F.broadcast(kept)
-    kept.unpersist()
-    return df
+    kept = materialize(df, "side")
+    if any(f.dataType.typeName() in ("array", "map", "struct", "variant") for f in kept.schema.fields):
+        return kept
+    rows, size = kept.agg(F.count(F.lit(1)), _bytes(kept)).first()
+    return F.broadcast(kept) if rows <= max_rows and size <= max_bytes else kept
 
 
 def key_pairs(main: DataFrame, side: DataFrame, mk: Sequence[str], sk: Sequence[str],

@@ -103,3 +103,23 @@ def test_lookup_with_blank_matches_never_grows(spark):
     side = spark.createDataFrame([("", "a"), (None, "a")], "k string, w string")
     rows = J.lookup(main, side, "left", side_val="w", key="k", blank_matches=True).collect()
     assert [tuple(r) for r in rows] == [("", "m", "a")]
+
+
+def test_broadcast_needs_few_rows_and_few_bytes(spark):
+    from starweave.operators.joins import broadcast_if_small
+    from starweave.session import release_scratch, scratch_mark
+
+    def hinted(df):
+        return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+
+    mark = scratch_mark()
+    wide = spark.createDataFrame([(i, "x" * 1000) for i in range(50)] + [(None, None)], "k long, v string")
+    assert hinted(broadcast_if_small(wide))
+    assert not hinted(broadcast_if_small(wide, max_rows=50))
+    assert not hinted(broadcast_if_small(wide, max_bytes=50_000))  # few rows, but wide ones
+    assert not hinted(broadcast_if_small(wide.selectExpr("k", "array(v) as v")))
+    assert hinted(broadcast_if_small(wide.limit(0)))
+    over = broadcast_if_small(wide, max_rows=1)
+    assert sorted(map(tuple, over.collect()), key=str) == sorted(map(tuple, wide.collect()), key=str)
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()  # nothing stays persisted
+    assert release_scratch(spark, mark) == 6
