@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..columns import ColRef, fresh_name, names_of
 from ..functions.scalars import split_literal, strip_ws
+from ..session import materialize
 from .project import all_blank
 
 
@@ -106,12 +106,11 @@ def split_attributes(df: DataFrame, delimiter: str, *refs: ColRef, width: int |
     return df.select(*out)
 
 
-def fan_out(df: DataFrame, copies: int = 2, storage: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> list[DataFrame]:
-    """The same DataFrame for 2 to 5 branches, persisted once so the
-    branches do not recompute it. (A DataFrame is immutable, so the branches
-    cannot affect each other.)"""
+def fan_out(df: DataFrame, copies: int = 2) -> list[DataFrame]:
+    """The same DataFrame for 2 to 5 branches, written once to the shared
+    scratch folder so the branches do not recompute it, whichever executors
+    are lost; ``release_scratch`` removes it. (A DataFrame is immutable, so the
+    branches cannot affect each other.)"""
     if copies < 2 or copies > 5:
         raise ValueError("copies must be between 2 and 5")
-    shared = df.persist(storage)
-    return [shared] * copies
-
+    return [materialize(df, "fan_out")] * copies
