@@ -134,6 +134,26 @@ def test_page_text_learns_template_and_slots(spark):
     assert main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def texts_of(spark, rows):
+    from starweave.llm.page_text import main_text
+
+    out = main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return {r.page_id: r.text for r in out}
+
+
+def test_page_text_wrapper_decides_over_article_tags(spark):
+    def page(i):
+        cards = "".join(f"<article class=card><p>card {i} {j}</p></article>" for j in range(2))
+        return f"<body><div class=top>{cards}</div><div class=body><h1>T{i}</h1><p>{f'long body text {i} ' * 9}</p></div>"
+
+    def beside(i):
+        return f"<body><div id=x><h1>T{i}</h1><article><p>{f'long body text {i} ' * 9}</p></article></div>"
+
+    body = {i: " ".join([f"T{i}"] + [f"long body text {i}"] * 9) for i in range(5)}
+    assert texts_of(spark, [(i, f"https://c.example/{i}", page(i)) for i in body]) == body
+    assert texts_of(spark, [(i, f"https://t.example/{i}", beside(i)) for i in body]) == body
+
+
 def test_decontamination_finds_what_plain_search_finds(spark, awkward):
     from starweave.llm.decontaminate import contaminated
 
