@@ -154,6 +154,21 @@ def test_page_text_wrapper_decides_over_article_tags(spark):
     assert texts_of(spark, [(i, f"https://t.example/{i}", beside(i)) for i in body]) == body
 
 
+def test_page_text_of_copies_is_no_template(spark):
+    def page(i, more=""):
+        return (f"<body><nav>menu</nav><div class=note><p>On every page.</p></div><article><h1>T{i}</h1>"
+                f"<p>{f'text of {i} ' * 9}</p>{more}</article></body>")
+
+    body = {i: " ".join([f"T{i}"] + [f"text of {i}"] * 9) for i in range(4)}
+    copies = [(i, f"https://one.example/{i}", page(0)) for i in range(5)]
+    assert set(texts_of(spark, copies + copies[:1]).values()) == {body[0]}
+    for quoted in range(4):  # one of them is the seed, with three copies
+        rows = [(i, f"https://h.example/{i}", page(i, "<pre>own part</pre>" if i == quoted else "")) for i in body]
+        rows += [(10 + j, f"https://h.example/{10 + j}", rows[quoted][2]) for j in range(3)]
+        want = body | {quoted: body[quoted] + " own part"}
+        assert texts_of(spark, rows) == want | {10 + j: want[quoted] for j in range(3)}
+
+
 def test_decontamination_finds_what_plain_search_finds(spark, awkward):
     from starweave.llm.decontaminate import contaminated
 
