@@ -169,6 +169,26 @@ def test_page_text_of_copies_is_no_template(spark):
         assert texts_of(spark, rows) == want | {10 + j: want[quoted] for j in range(3)}
 
 
+def test_page_text_keeps_article_parts_under_any_tags(spark):
+    def body(i):
+        return f"{f'text of {i} ' * 9}"
+
+    pages = {
+        "nohead": lambda i: f"<html><head><title>t</title><meta a=b><body><article><h1>T{i}</h1><p>{body(i)}</p></article>",
+        "nobody": lambda i: f"<head><title>t</title><style>p {{}}</style><h1>T{i}</h1><p>{body(i)}</p>",
+        "sidebar": lambda i: (f"<body><div class='layout has-sidebar'><article><h1>T{i}</h1><p>{body(i)}</p></article>"
+                              f"<div class=sidebar><p>side {i}</p></div></div></body>"),
+        "noside": lambda i: f"<div id='main-no-sidebar'><div><h1>T{i}</h1><p>{body(i)}</p></div></div><div class=comments>c {i}</div>",
+        "title": lambda i: f"<article><header class='article-header'><h1>T{i}</h1></header><p>{body(i)}</p></article>",
+        "links": lambda i: f"<article><h1>T{i}</h1><p>{body(i)}</p><ul><li><a href=/r>reference of {i}</a></ul></article>",
+    }
+    want = {n: {i: " ".join([f"T{i}"] + [f"text of {i}"] * 9) for i in range(4)} for n in pages}
+    want["links"] = {i: t + f" reference of {i}" for i, t in want["links"].items()}
+    for of in (1, 4):  # hosts with one page, and with a wrapper
+        rows = [(100 * k + i, f"https://{n}.example/{i}", page(i)) for k, (n, page) in enumerate(pages.items()) for i in range(of)]
+        assert texts_of(spark, rows) == {100 * k + i: want[n][i] for k, n in enumerate(pages) for i in range(of)}
+
+
 def test_decontamination_finds_what_plain_search_finds(spark, awkward):
     from starweave.llm.decontaminate import contaminated
 
