@@ -2,8 +2,8 @@
 are mixed to their target weights, the rest is cut into shards.
 
 Each stage takes (spark, docs, sf_dir) and returns a frame; ``run`` writes it as Parquet and rereads it as the next
-stage's input. All but the last return the columns of their input. A null doc_id is never joined on, so stages that
-drop by doc_id keep such rows.
+stage's input. All but the last return the columns of their input. Stages that drop rows know them by a 64-bit hash of
+doc_id and text, so a null or repeated doc_id makes no difference.
 """
 
 from __future__ import annotations
@@ -19,30 +19,47 @@ from starweave.session import materialize, read_table
 MAX_IDS = 1_000_000
 
 
+def _row():
+    """Rows with one value are equal in doc_id and text."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) with ``_row`` in place of the id."""
+    return docs.select(_row().alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
 def _only(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is (left_semi) or is not (left_anti) among ``ids``."""
-    return docs.join(checked_broadcast(materialize(ids.filter("doc_id is not null").distinct(), "ids"), MAX_IDS), "doc_id", how).select(
-        *docs.columns)
+    """Rows of ``docs`` whose ``_row`` is (left_semi) or is not (left_anti) among ``ids`` (doc_id)."""
+    ids = materialize(ids.select(F.col("doc_id").alias("_row")).distinct(), "ids")
+    return docs.withColumn("_row", _row()).join(checked_broadcast(ids, MAX_IDS), "_row", how).select(*docs.columns)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = toxicity.score_toxicity(docs, read_table(spark, sf_dir, "labels"))
-    return _only(docs, scored.filter("predicted = 1").select("doc_id"), "left_anti")
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    scored = toxicity.scores(_keyed(docs), toxicity.fit(narrow, read_table(spark, sf_dir, "labels")))
+    return _only(docs, scored.filter("predicted = 1"), "left_anti")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group stays; of rows with one doc_id, one stays."""
-    group = materialize(jaccard_join.near_duplicates(docs), "groups")
-    kept = _only(docs, group.filter("doc_id <> component_id").select("doc_id"), "left_anti")
-    again = group.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    again = materialize(again, "again")
-    once = _only(kept, again, "left_semi").dropDuplicates(["doc_id"])
+    """The document with the smallest doc_id of each group stays (one without an id only if all are); of rows with one
+    doc_id and text, one stays, unless they have neither id nor words."""
+    group = materialize(jaccard_join.near_duplicates(_keyed(docs)), "groups").groupBy("component_id", "doc_id").agg(
+        F.count(F.lit(1)).alias("n"), F.max("n_shingles").alias("n_shingles"))
+    real = docs.select(_row().alias("doc_id"), F.col("doc_id").cast("long").alias("id")).distinct()
+    named = materialize(group.join(real, "doc_id"), "named")
+    best = named.groupBy("component_id").agg(
+        F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "doc_id")).alias("best"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    best = materialize(best.select("component_id", F.col("best.doc_id").alias("best")), "best")
+    kept = _only(docs, named.join(checked_broadcast(best, MAX_IDS), "component_id").filter("doc_id <> best"), "left_anti")
+    again = materialize(named.filter("n > 1 and (id is not null or n_shingles > 0)").select("doc_id"), "again")
+    once = _only(kept, again, "left_semi").withColumn("_row", _row()).dropDuplicates(["_row"]).drop("_row")
     return _only(kept, again, "left_anti").union(once)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    hits = decontaminate.contaminated(docs, read_table(spark, sf_dir, "benchmark"))
-    return _only(docs, hits.select("doc_id"), "left_anti")
+    hits = decontaminate.contaminated(_keyed(docs), read_table(spark, sf_dir, "benchmark"))
+    return _only(docs, hits, "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

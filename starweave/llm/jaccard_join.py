@@ -13,7 +13,8 @@ Two texts link when their sets of k-word shingles (tokens) have a Jaccard simila
    sets that are connected over frequent prefix tokens. Hot sets with the same frequent tokens and size are one
    pattern; the patterns of a class meet block against block, so no task holds a whole class.
 3. Verify. For a pair found by rare tokens, the count of shared ones plus what lies beyond the prefixes bounds the
-   overlap; pairs that still can reach the limit are compared on their whole sets. Hot pairs share frequent tokens
+   overlap; pairs that still can reach the limit are compared on their whole sets, made again from texts found by
+   their hash, so null and repeated ids do not matter. Hot pairs share frequent tokens
    only (else the rare index has them), which the blocks count exactly.
 4. Components of the links by star contraction. Equal sets are one node throughout.
 
@@ -142,7 +143,7 @@ def frequent_tokens(docs: DataFrame, k: int, bits: int, rare_max: int, frequent_
 
 # ---- 2. prefixes
 
-_PREFIXED = ("doc_id long, sig long, n int, rare int, near binary, frequent binary, "
+_PREFIXED = ("doc_id long, key long, sig long, n int, rare int, near binary, frequent binary, "
              "cell int, keys binary, sigs binary, sizes binary")
 
 
@@ -162,11 +163,11 @@ def _prefix_task(k: int, bits: int, num: int, den: int, shared):
         order = np.argsort(keys, kind="stable")
         keys, sigs, sizes = keys[order], sigs[order], sizes[order]
         low = (keys >> np.uint64(32 - bits)).astype(np.uint32)
-        return [(None,) * 6 + (c, low[a:b].tobytes(), sigs[a:b].tobytes(), sizes[a:b].tobytes())
+        return [(None,) * 7 + (c, low[a:b].tobytes(), sigs[a:b].tobytes(), sizes[a:b].tobytes())
                 for c, a, b in _split(keys, bits)]
 
     names = [x.split()[0] for x in _PREFIXED.split(", ")]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int32()] + [pa.binary()] * 3
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int32()] + [pa.binary()] * 3
 
     def out(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
@@ -175,16 +176,16 @@ def _prefix_task(k: int, bits: int, num: int, den: int, shared):
         frequent = shared.value
         keys, sigs, sizes, held, seen = [], [], [], 0, set()
         for batch in rows:
-            ids = batch.column(0).to_pylist()
+            ids, hashes = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for i, sets in _sets(batch, 1, k):
                 made = []
                 hot = _is_frequent(np.concatenate(sets), frequent, bits) if sets else None
                 at = 0
-                for doc_id, s in zip(ids[i:], sets):
+                for doc_id, key, s in zip(ids[i:], hashes[i:], sets):
                     n, sig = len(s), _signature(s)
                     often, at = hot[at : at + n], at + n
                     if not n:
-                        made.append((doc_id, None, 0, 0, None, None) + (None,) * 4)
+                        made.append((doc_id, key, None, 0, 0, None, None) + (None,) * 4)
                         continue
                     p = n - (num * n + den - 1) // den + 1
                     rare = s[~often] if often.any() else s
@@ -194,7 +195,7 @@ def _prefix_task(k: int, bits: int, num: int, den: int, shared):
                         near = whole[: p + 1 - len(rare)].tobytes()
                         whole = whole.tobytes()
                     rare = rare[:p]
-                    made.append((doc_id, sig, n, len(rare), near, whole) + (None,) * 4)
+                    made.append((doc_id, key, sig, n, len(rare), near, whole) + (None,) * 4)
                     if sig not in seen and len(rare):
                         seen.add(sig)
                         keys.append(rare)
@@ -353,10 +354,9 @@ def hot_links(hot: DataFrame, num: int, den: int) -> DataFrame:
 def _token_task(k: int):
     def task(rows):
         for batch in rows:
-            ids = batch.column(0).to_pylist()
-            for i, sets in _sets(batch, 1, k):
+            for _, sets in _sets(batch, 0, k):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[i : i + len(sets)], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                    [pa.array([_signature(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
                     ["sig", "tokens"])
 
     return task
@@ -385,11 +385,12 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, num: int = 75, den: int = 10
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     bits = cell_bits(docs)
     shared = spark.sparkContext.broadcast(frequent_tokens(docs, k, bits, rare_max, frequent_max))
-    made = materialize(docs.mapInArrow(_prefix_task(k, bits, num, den, shared), _PREFIXED), "prefixes")
-    rows = made.filter("n is not null").select("doc_id", "sig", "n", "rare")
+    by_text = docs.withColumn("key", F.xxhash64("text"))
+    made = materialize(by_text.mapInArrow(_prefix_task(k, bits, num, den, shared), _PREFIXED), "prefixes")
+    rows = made.filter("n is not null").select("doc_id", "key", "sig", "n", "rare")
     nodes = materialize(
         rows.filter("sig is not null").groupBy("sig").agg(
-            F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"),
+            F.min("doc_id").alias("rep"), F.min("key").alias("key"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"),
             F.max("rare").alias("rare")), "sets")
 
     pairs = made.filter("cell is not null").select("cell", "keys", "sigs", "sizes").groupBy("cell").applyInPandas(
@@ -400,10 +401,10 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, num: int = 75, den: int = 10
         F.expr(f"{num + den} * (shared + greatest(ra, rb)) >= {num} * (na + nb)"))
     found = materialize(found.select("a", "b"), "candidates")
     ends = found.select(F.col("a").alias("sig")).union(found.select(F.col("b").alias("sig"))).distinct()
-    wanted = ends.join(nodes, "sig").filter("rep is not null").select("sig", F.col("rep").alias("doc_id"))
-    wanted = materialize(wanted, "wanted")
-    texts = docs.join(checked_broadcast(wanted, 2_000_000), "doc_id").select("sig", "text")
-    tokens = materialize(texts.dropDuplicates(["sig"]).mapInArrow(_token_task(k), "sig long, tokens binary"), "tokens")
+    wanted = materialize(ends.join(nodes, "sig").select("key"), "wanted")
+    texts = by_text.join(checked_broadcast(wanted, 2_000_000), "key", "left_semi").select("key", "text")
+    tokens = texts.dropDuplicates(["key"]).select("text").mapInArrow(_token_task(k), "sig long, tokens binary")
+    tokens = materialize(tokens, "tokens")
     links = found.join(tokens.toDF("a", "x"), "a").join(tokens.toDF("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(
         _verify_task(num, den), "a long, b long")
 

@@ -212,11 +212,15 @@ def _score_task(shared):
 def score_toxicity(docs: DataFrame, labels: DataFrame, *, max_train: int = MAX_TRAIN) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of ``docs``. See the module text."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    model = fit(docs, labels, max_train=max_train)
-    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.intercept))
+    scored = scores(docs, fit(docs, labels, max_train=max_train))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
 
+def scores(docs: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, score, predicted) by a fitted model for every row of ``docs`` (doc_id, text)."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.intercept))
     scored = docs.mapInArrow(_score_task(_Unpacked(shared)), "doc_id long, score double")
-    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return scored.select("doc_id", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 class _Unpacked:

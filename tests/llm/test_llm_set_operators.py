@@ -99,6 +99,59 @@ def test_components_defined_cases(spark):
     assert near_duplicates(docs.limit(0)).count() == 0
 
 
+def without_ids(seed, n):
+    """(row, doc_id, text) of near copies with null and repeated ids."""
+    rng = random.Random(seed)
+    return [(i, rng.choice([None, rng.randrange(n // 2), i]), t) for i, t in enumerate(near_copies(seed, n))]
+
+
+@pytest.mark.parametrize("rare_max", [8, 64])
+def test_components_with_null_and_repeated_ids(spark, rare_max):
+    from starweave.llm.jaccard_join import near_duplicates
+
+    rows = without_ids(rare_max, 300)
+    group = brute_components([(i, t) for i, _, t in rows])
+    least = {}
+    for i, doc_id, _ in rows:
+        if doc_id is not None and i in group:
+            least[group[i][1]] = min(doc_id, least.get(group[i][1], doc_id))
+    want = []
+    for i, doc_id, _ in rows:
+        alone = group[i][0] == 0
+        want.append((doc_id, group[i][0], doc_id if alone else least.get(group[i][1])))
+    docs = spark.createDataFrame([(d, t) for _, d, t in rows], "doc_id long, text string").repartition(4)
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in near_duplicates(docs, rare_max=rare_max).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_pipeline_drops_rows_without_or_with_repeated_ids(spark, tmp_path):
+    import corpus_pipeline as cp
+
+    rows = without_ids(3, 200)
+    docs = spark.createDataFrame(rows, "row long, doc_id long, text string")
+    kept = {r.row for r in cp.drop_near_copies(spark, docs, "").collect()}
+    group = brute_components([(i, t) for i, _, t in rows])
+    id_of = {i: d for i, d, _ in rows}
+    members = {}
+    for i in group:
+        members.setdefault(group[i][1], []).append(i)
+    for found in members.values():
+        words = group[found[0]][0]
+        staying = [i for i in found if i in kept]
+        if words:
+            ids = [id_of[i] for i in found if id_of[i] is not None]
+            assert len(staying) == 1 and id_of[staying[0]] == min(ids, default=None)
+        elif id_of[found[0]] is None:
+            assert staying == found
+
+    item = "which river flows through the old town of the grey castle? the little winding silver river does"
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    clean = "a text about something else that nobody asked for in any test"
+    docs = spark.createDataFrame([(None, f"x {item} y"), (1, item), (1, clean), (None, clean)], "doc_id long, text string")
+    got = cp.drop_contaminated(spark, docs, str(tmp_path)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == [(0, clean), (1, clean)]
+
+
 def test_star_contraction(spark):
     from starweave.llm.components import components
 
