@@ -201,6 +201,17 @@ def q_join_composite(spark, sf):
     return out.select("performance_id", "judges", "first_judge")
 
 
+@register("join_composite_lines", """
+select o_orderkey, o_orderstatus, l_linenumber, l_suppkey, l_quantity
+from orders left join lineitem on o_orderkey = l_orderkey and o_orderstatus = l_linestatus""")
+def q_join_composite_lines(spark, sf):
+    # All lines of an order that have its status: several side rows multiply, an order has few lines.
+    o = T(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    li = T(spark, sf, "lineitem").select("l_orderkey", "l_linestatus", "l_linenumber", "l_suppkey", "l_quantity")
+    out = J.join(o, li, "Left", main_key="o_orderkey,o_orderstatus", side_key="l_orderkey,l_linestatus")
+    return out.select("o_orderkey", "o_orderstatus", "l_linenumber", "l_suppkey", "l_quantity")
+
+
 # ===================================================================== J6-J9
 @register("lookup_inner", """
 select l_orderkey, l_linenumber, l_partkey, l_quantity, p_name, p_size

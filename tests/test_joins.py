@@ -123,3 +123,18 @@ def test_broadcast_needs_few_rows_and_few_bytes(spark):
     assert sorted(map(tuple, over.collect()), key=str) == sorted(map(tuple, wide.collect()), key=str)
     assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()  # nothing stays persisted
     assert release_scratch(spark, mark) == 6
+
+
+def test_composite_left_join_query_multiplies_and_pads(spark):
+    from starweave.plans.catalog import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    out = QUERIES["join_composite_lines"](spark, sf).collect()
+    lines = {}
+    for r in spark.read.parquet(f"{sf}/lineitem.parquet").collect():
+        lines.setdefault((r.l_orderkey, r.l_linestatus), []).append((r.l_linenumber, r.l_suppkey, r.l_quantity))
+    want = []
+    for r in spark.read.parquet(f"{sf}/orders.parquet").collect():
+        want += [(r.o_orderkey, r.o_orderstatus, *m) for m in lines.get((r.o_orderkey, r.o_orderstatus), [(None,) * 3])]
+    assert sorted(map(str, map(tuple, out))) == sorted(map(str, want))
+    assert len(out) > len({r.o_orderkey for r in out}) and any(r.l_linenumber is None for r in out)
