@@ -1,7 +1,7 @@
 """Format-preserving Feistel pseudonyms for personal numbers and dates, in SQL functions only.
 
 Values are found by shape and checked: card numbers (13 to 19 digits, Luhn), telephone numbers (a + and 10 to 15
-digits), IPv4 addresses (octets up to 255), social security numbers (valid areas, groups and serials), calendar dates
+digits, or ten as ``(nnn) nnn-nnnn``), IPv4 addresses (octets up to 255), social security numbers (valid areas, groups and serials), calendar dates
 1900 to 2099 (ISO, and day.month.year or day/month/year). Each kind and length is a domain of ``a * b`` values; a
 value is a pair (l, r) below (a, b), and ``ROUNDS`` rounds add a keyed SHA-256 of one half to the other, modulo a and
 b by turns. That is a permutation of the domain with any a and b, so a value keeps its format, equal values get equal
@@ -25,11 +25,12 @@ DAY_FACTORS = (229, 319)
 # The shapes.
 SHAPES = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:[.][A-Za-z0-9-]++)+",
-    "phone": r"[+][0-9]{1,3}[ .-]?(?:[(][0-9]{2,4}[)]|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])",
+    "phone": r"[+][0-9]{1,3}[ .-]?(?:[(][0-9]{1,4}[)][ .-]?)?[0-9]{1,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])"
+             r"|[(][0-9]{3}[)] ?[0-9]{3}[ .-][0-9]{4}(?![0-9])",
     "date": r"(?<![0-9./-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}([./])[0-9]{2}\1(?:19|20)[0-9]{2})(?![0-9/-]|[.][0-9])",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:[.][0-9]{1,3}){3}(?![0-9]|[.][0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
-    "card": r"(?<![0-9])[0-9]{4}(?:[ -][0-9]{4}){3}(?![0-9]|[ -][0-9])|(?<![0-9])[0-9]{13,19}(?![0-9])",
+    "card": r"(?<![0-9])[0-9]{4}(?:[ -][0-9]{4}){3}(?![0-9]|-[0-9])|(?<![0-9])[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}(?![0-9]|-[0-9])|(?<![0-9])[0-9]{13,19}(?![0-9])",
 }
 KINDS = tuple(SHAPES)
 #: The date shape's back reference is to the only group of the joined pattern.
@@ -96,6 +97,7 @@ def kind_of(value: Column) -> Column:
     last = F.substr(digits, F.length(digits), F.lit(1)).cast("int")
     return (F.when(value.rlike("@"), "email")
             .when(value.startswith("+"), F.when(F.length(digits).between(10, 15), "phone"))
+            .when(value.startswith("("), F.when(F.length(digits) == 10, "phone"))
             .when(value.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$|^[0-9]{2}([./])[0-9]{2}\1[0-9]{4}$"), F.when(_day(value).isNotNull(), "date"))
             .when(value.rlike("^[0-9]{1,3}([.][0-9]{1,3}){3}$"), F.when(F.forall(octets, lambda o: o <= 255), "ip"))
             .when(value.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"),
@@ -118,6 +120,7 @@ def pseudonym(value: Column, kind: Column, key: str, inverse: bool = False) -> C
     card = F.concat(card, F.pmod(10 - F.pmod(_luhn_sum(card), F.lit(10)), F.lit(10)).cast("string"))
     code = F.regexp_extract(value, "^[+]([0-9]{1,3})(?=[ .(-])", 1)
     code = F.when(code == "", F.substring(digits, 1, 1)).otherwise(code)
+    code = F.when(value.startswith("("), "").otherwise(code)
     phone = F.concat(code, _number(key, "phone", F.substr(digits, F.length(code) + 1), inverse))
     octets = F.split(value, "[.]")
     ip = F.aggregate(octets, F.lit(0).cast("long"), lambda s, o: s * 256 + o.cast("long"))

@@ -92,6 +92,22 @@ def test_pseudonyms_round_trip_and_stay_linked(spark):
     assert pseudonymise(docs.limit(0), "k").count() == 0
 
 
+def test_pseudonyms_of_more_phone_and_card_shapes(spark):
+    from starweave.llm.pseudonyms import pseudonymise
+
+    values = ["+33 6 12 34 56 78", "+61 4 1234 5678", "+44 (0)20 7946 0958", "(555) 123-4567", "+1 (017) 555-7713",
+              "3782 822463 10005", "4111 1111 1111 1111"]
+    texts = [f"call or pay {v} now" for v in values] + ["4111 1111 1111 1111 12/27", "+33 6 12 34 56 78, (555) 123-4567"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = sorted(pseudonymise(docs, "k").collect())
+    assert [(r.n_phone, r.n_card) for r in out] == [(1, 0)] * 5 + [(0, 1)] * 3 + [(2, 0)]
+    for r, t in zip(out, texts):
+        assert r.text != t and re.sub("[0-9]", "0", r.text) == re.sub("[0-9]", "0", t)
+    assert out[7].text.endswith(" 12/27") and out[0].text.startswith("call or pay +33 ")
+    back = pseudonymise(spark.createDataFrame([(r.doc_id, r.text) for r in out], "doc_id long, text string"), "k", inverse=True)
+    assert [r.text for r in sorted(back.collect())] == texts
+
+
 def test_feistel_is_a_permutation(spark):
     from starweave.llm.pseudonyms import feistel
 
