@@ -1,5 +1,5 @@
 """Training-data operators: token counts, decontamination, toxicity, pseudonyms, page text, mixing, URL lists,
-quality rules, sharding and near-duplicate components. Nothing else in the library imports this subpackage."""
+quality rules, sharding, near-duplicate components, fill-in-the-middle, vector codes and sentencepiece ids. Nothing else in the library imports this subpackage."""
 
 import sys
 

@@ -9,15 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import read_table
 from . import (
     decontaminate,
+    fill_middle,
     jaccard_join,
     mixing,
     page_text,
+    pieces,
     pseudonyms,
     quality,
     sharding,
     tokens,
     toxicity,
     url_lists,
+    vector_codes,
 )
 
 
@@ -66,8 +69,21 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(fill_middle.fill_in_middle(read_table(spark, sf_dir, "documents")))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(pieces.decode(pieces.encode(read_table(spark, sf_dir, "documents"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_token_counts, op2_decontamination, op3_toxicity, op4_pseudonyms, op5_page_text, op6_mixing, op7_url_filters,
-    op8_quality_rules, op9_sharding, op10_jaccard_join)}
+    op8_quality_rules, op9_sharding, op10_jaccard_join, op11_fill_middle, op12_vector_codes, op13_sentencepiece)}
 ORACLES: dict[str, str] = {
-    "op6_mixing": mixing.ORACLE, "op7_url_filters": url_lists.ORACLE, "op8_quality_rules": quality.ORACLE}
+    "op6_mixing": mixing.ORACLE, "op7_url_filters": url_lists.ORACLE, "op8_quality_rules": quality.ORACLE,
+    "op11_fill_middle": fill_middle.ORACLE, "op12_vector_codes": vector_codes.ORACLE}
