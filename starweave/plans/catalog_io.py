@@ -71,6 +71,17 @@ def q_csv_import(spark, sf):
     return SC.conform(TX.read_csv(spark, path, SC.SCHEMAS["s_performances"]), "s_performances")
 
 
+@register("csv_import_quoted", "select doc_id, text, lang, source, n_chars from documents")
+def q_csv_import_quoted(spark, sf):
+    # Texts with newlines, quotes and commas, written as CSV and imported in splits into an existing table.
+    docs = read_table(spark, sf, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    path, t = scratch_path(spark, "csv_quoted"), _table_name("documents")
+    TX.write_csv(docs, path, quote_all=True)
+    TB.create_table(spark, t, docs.schema)
+    TB.import_csv(spark, t, path)
+    return spark.table(t)
+
+
 @register("read_lines", with_staging("""
 select performance_id, competition_nm, program_event_nm, skater_nm, nationality from s_performances""",
                                      "s_performances"))

@@ -28,6 +28,7 @@ from ..operators import keys as K
 from ..operators import reshape as R
 from ..sources import schemas as SC
 from ..sources import text as TX
+from ..sources.records import read_csv_quoted
 from . import model as M
 from . import staging as stg
 
@@ -95,7 +96,7 @@ def run_tables_route(spark: SparkSession, csv_dir: str, work_dir: str) -> dict[s
 
     st = {}
     for name, f in SOURCE_FILES.items():
-        raw = TX.read_csv(spark, os.path.join(csv_dir, f), SC.SCHEMAS[name])
+        raw = read_csv_quoted(spark, os.path.join(csv_dir, f), SC.SCHEMAS[name])
         st[name] = write(SC.conform(raw, name), name)
 
     ev = write(M.event_view(st["s_performances"]), "s_event_v")

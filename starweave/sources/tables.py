@@ -124,20 +124,22 @@ def replace_function(spark: SparkSession, name: str = "initcap_words") -> None:
 
 
 def import_csv(spark: SparkSession, table: str, path: str | Sequence[str], *, sep: str = ",",
-               required: Sequence[str] | None = None, multiline: bool = False) -> None:
+               required: Sequence[str] | None = None, quoted_newlines: bool = True) -> None:
     """O2: load CSV files with a header into an existing table, replacing its
     rows. The table's own schema types the read, and values that do not fit
     raise. The required columns come from ``required`` or from the table (see
     ``required_of``); a NULL in one raises naming it.
 
-    Files are split across tasks. Sources with newlines inside quoted fields
-    need ``multiline=True``: each file is then read by one task, so a large
-    import should come as many files."""
+    Files are split across tasks, whether or not quoted fields hold newlines
+    (``records.read_csv_quoted``). ``quoted_newlines=False`` saves the look for
+    such fields where the source is known to have none."""
+    from .records import read_csv_quoted
     from .schemas import require
     from .text import read_csv
 
     _must_exist(spark, table)
     if required is None:
         required = required_of(spark, table)
-    df = read_csv(spark, path, spark.table(table).schema, sep=sep, multiline=multiline)
+    read = read_csv_quoted if quoted_newlines else read_csv
+    df = read(spark, path, spark.table(table).schema, sep=sep)
     require(df, list(required), table.split(".")[-1]).write.insertInto(table, overwrite=True)

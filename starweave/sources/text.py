@@ -4,8 +4,8 @@ Two ways in, as in the two routes:
 
 * ``read_csv`` — the tables route: the whole file parsed by Spark's CSV
   source with an explicit schema, doubled quotes as escapes, leading blanks
-  skipped. Files are split across tasks; sources with newlines inside quoted
-  fields need ``multiline=True``, which makes each file one task.
+  skipped. Files are split across tasks; newlines inside quoted fields need
+  ``records.read_csv_quoted`` (split) or ``multiline=True`` (each file one task).
 * ``read_lines`` + ``switch_delimiters`` + ``convert_rec`` — the files route:
   line-based text, re-delimited per line by column expressions.
 
@@ -28,21 +28,24 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType,
              sep: str = ",", multiline: bool = False, mode: str = "FAILFAST") -> DataFrame:
     """O1/O2: CSV with a header line, parsed against ``schema`` (never
     inferred). ``FAILFAST`` raises on a value that does not fit its type."""
-    return (spark.read.schema(schema)
+    return (spark.read.schema(schema).options(**csv_options(sep))
             .option("header", header)
-            .option("sep", sep)
-            .option("quote", '"')
-            .option("escape", '"')
             .option("multiLine", multiline)
-            .option("ignoreLeadingWhiteSpace", True)
             .option("mode", mode)
             .csv(path))
 
 
-def write_csv(df: DataFrame, path: str, *, sep: str = ",", mode: str = "error") -> None:
+def csv_options(sep: str = ",") -> dict[str, str]:
+    """How the CSV of this library is read: doubled quotes as escapes, leading blanks skipped."""
+    return {"sep": sep, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true"}
+
+
+def write_csv(df: DataFrame, path: str, *, sep: str = ",", mode: str = "error", quote_all: bool = False) -> None:
     """CSV with a header, quoting where needed (the form ``read_csv`` reads);
-    blanks at the ends of values are kept."""
+    blanks at the ends of values are kept. ``quote_all`` quotes every value, so
+    that leading blanks also survive the reader."""
     (df.write.mode(mode).option("header", True).option("sep", sep).option("quote", '"').option("escape", '"')
+     .option("quoteAll", quote_all)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
@@ -65,6 +68,17 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], skip_header: bool
     return at.join(heads.select("__row"), "__row", "left_anti").select(name)
 
 
+def next_quote_state(state: Column, piece: Column, at_start: str, blank: str = "^ *$") -> Column:
+    """The state of the CSV text behind the quote that ends ``piece``, when ``state`` was that of the piece.
+
+    States: ``s`` start of the record, ``u`` outside a quoted field, ``q`` inside one, ``c`` right after a closing
+    quote. ``at_start`` matches a piece that ends where a field begins, ``blank`` one that has nothing but blanks.
+    """
+    opens = piece.rlike(at_start) | ((state == "s") & piece.rlike(blank))
+    return (F.when(state == "q", "c").when((state == "c") & (piece == ""), "q")
+            .when(opens, "q").otherwise("u"))
+
+
 def switch_delimiters(line: Column, old: str, new: str) -> Column:
     """Re-delimit one CSV line from ``old`` to ``new``.
 
@@ -88,10 +102,7 @@ def switch_delimiters(line: Column, old: str, new: str) -> Column:
     # c: after a closing quote), and the marks of the pieces so far
     def step(acc: Column, piece: Column) -> Column:
         state = acc["state"]
-        opens = piece.rlike(at_start) | ((state == "s") & (F.ltrim(piece) == ""))
-        after = (F.when(state == "q", "c").when((state == "c") & (piece == ""), "q")
-                 .when(opens, "q").otherwise("u"))
-        return F.struct(after.alias("state"),
+        return F.struct(next_quote_state(state, piece, at_start).alias("state"),
                         F.concat(acc["marks"], F.when(state == "q", "q").otherwise("u")).alias("marks"))
 
     marks = F.aggregate(pieces, F.struct(F.lit("s").alias("state"), F.lit("").alias("marks")), step,

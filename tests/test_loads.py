@@ -65,8 +65,8 @@ def test_import_csv_checks_required_columns(spark, tmp_path):
     TB.create_table(spark, f"{db}.s_judge_scores", SC.SCHEMAS["s_judge_scores"])
     good = tmp_path / "good.csv"
     good.write_text('judged_aspect_id,clean_role,score\nA1,J1,1.5\n"A\n2",J2,2\n')
-    TB.import_csv(spark, f"{db}.s_judge_scores", str(good), multiline=True)
-    TB.import_csv(spark, f"{db}.s_judge_scores", str(good), multiline=True)  # replaces, does not append
+    TB.import_csv(spark, f"{db}.s_judge_scores", str(good))
+    TB.import_csv(spark, f"{db}.s_judge_scores", str(good))  # replaces, does not append
     assert sorted(r[0] for r in spark.table(f"{db}.s_judge_scores").collect()) == ["A\n2", "A1"]
     bad = tmp_path / "bad.csv"
     bad.write_text("judged_aspect_id,clean_role,score\nA1,,1.5\n")
@@ -80,7 +80,7 @@ def test_import_csv_split_mode(spark, tmp_path):
     TB.create_table(spark, f"{db}.s_judge_scores", SC.SCHEMAS["s_judge_scores"])
     src = tmp_path / "scores.csv"
     src.write_text("judged_aspect_id,clean_role,score\n" + "".join(f"A{i},J{i % 3},{i}.5\n" for i in range(1000)))
-    TB.import_csv(spark, f"{db}.s_judge_scores", str(src), multiline=False)
+    TB.import_csv(spark, f"{db}.s_judge_scores", str(src), quoted_newlines=False)
     assert spark.table(f"{db}.s_judge_scores").count() == 1000
 
 
