@@ -18,6 +18,8 @@ from ..sources import schemas as SC
 from ..sources import tables as TB
 from ..sources import text as TX
 from ..streaming import drain as D
+from ..streaming import publish as PB
+from ..streaming import pull as PL
 from . import model as M
 from . import staging as stg
 from .catalog import register
@@ -245,3 +247,58 @@ def q_publish_rows(spark, sf):
     reply = results[0].reply if results else "N"
     return spark.read.parquet(sink).select(F.decode("value", "UTF-8").alias("value"), F.lit(reply).alias("reply"))
 
+
+@register("pull_batches", """
+select *, (row_number() over (order by c_custkey) - 1) // 1000 as pull_no from customer""")
+def q_pull_batches(spark, sf):
+    # The stream itself is capped by messages: each micro-batch is one pull of 1000.
+    sink, ckpt = scratch_path(spark, "pulls_sink"), scratch_path(spark, "pulls_ckpt")
+    schema = read_table(spark, sf, "customer").schema
+    stream = PL.pull_stream(spark, f"{sf}/customer.parquet", schema, limit=1000)
+
+    def write(batch, number):
+        batch.withColumn("pull_no", F.lit(number).cast("long")).write.mode("append").parquet(sink)
+
+    PL.pull(stream, write, ckpt)
+    PL.pull(stream, write, ckpt)  # same checkpoint: nothing is pulled twice
+    return spark.read.parquet(sink)
+
+
+@register("publish_each", """
+select cast(event_id as varchar) || '|' || event_type as value, 1::bigint as delivered, 'Y' as reply,
+       case when event_id % 10 = 3 then 2 else 1 end::bigint as attempt
+from events""")
+def q_publish_each(spark, sf):
+    # A sink that refuses some messages at first: the retry sends only those, so each is delivered once.
+    path, ledger = scratch_path(spark, "topic").removeprefix("file:"), scratch_path(spark, "ledger")
+
+    def payload(df):
+        return df.select(F.encode(TX.rec_to_text([df.event_id, df.event_type], "|"), "UTF-8").alias("value"))
+
+    ev = read_table(spark, sf, "events")
+    PB.publish_each(ev, _refusing(path, b"3"), ledger, payload=payload)
+    told = PB.publish_each(ev, PB.folder_sink(path), ledger, payload=payload)
+    got = spark.read.text(path).groupBy("value").agg(F.count(F.lit(1)).alias("delivered"))
+    sent = told.join(PB.messages(spark, ledger), ["batch", "message"]).select(
+        F.decode("value", "UTF-8").alias("value"), "reply", "attempt")
+    return sent.join(got, "value").select("value", "delivered", "reply", "attempt")
+
+
+def _refusing(path, last):
+    """A folder sink that refuses messages whose id ends with ``last``."""
+    from contextlib import contextmanager
+
+    inner = PB.folder_sink(path)
+
+    @contextmanager
+    def opened():
+        with inner() as send:
+
+            def some(value, key):
+                if value.split(b"|")[0].endswith(last):
+                    raise ConnectionError("refused")
+                return send(value, key)
+
+            yield some
+
+    return opened

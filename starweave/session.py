@@ -96,6 +96,12 @@ def release_scratch(spark: SparkSession, since: int = 0) -> int:
     return len(gone)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Is there a file or folder at ``path``, on whatever storage its scheme names?"""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 

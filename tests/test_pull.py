@@ -1,0 +1,90 @@
+"""Pulls capped by messages, with an acknowledging checkpoint (M2)."""
+
+import os
+
+import pytest
+
+from starweave.streaming import pull as PL
+
+
+def write(spark, path, name, ids, groups=None):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    os.makedirs(path, exist_ok=True)
+    pq.write_table(pa.table({"id": pa.array(ids, pa.int64()), "v": [f"m{i}" for i in ids]}), os.path.join(path, name),
+                   row_group_size=groups or 700)
+
+
+def stream(spark, path, limit=1000):
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+    return PL.pull_stream(spark, path, StructType([StructField("id", LongType()), StructField("v", StringType())]), limit=limit)
+
+
+def taker():
+    got = {}
+
+    def take(batch, n):
+        got[n] = sorted(r.id for r in batch.collect())
+    return got, take
+
+
+def test_pulls_of_one_thousand(spark, tmp_path):
+    src, ckpt = str(tmp_path / "in"), str(tmp_path / "ckpt")
+    write(spark, src, "a.parquet", range(1800))
+    write(spark, src, "b.parquet", range(1800, 2500))
+    got, take = taker()
+    assert PL.pull(stream(spark, src), take, ckpt) == [0, 1, 2]
+    assert [len(got[k]) for k in sorted(got)] == [1000, 1000, 500]
+    assert sorted(i for ids in got.values() for i in ids) == list(range(2500))
+    assert PL.pull(stream(spark, src), take, ckpt) == []  # all is acknowledged
+    write(spark, src, "c.parquet", range(2500, 2600))
+    got, take = taker()
+    assert len(PL.pull(stream(spark, src), take, ckpt)) == 1
+    assert list(got.values()) == [list(range(2500, 2600))]
+
+
+def test_one_pull_at_a_time(spark, tmp_path):
+    src, ckpt = str(tmp_path / "in"), str(tmp_path / "ckpt")
+    write(spark, src, "a.parquet", range(25), groups=4)
+    seen = []
+    for _ in range(4):
+        got, take = taker()
+        PL.pull(stream(spark, src, limit=10), take, ckpt, every=False)
+        seen.append(sorted(i for ids in got.values() for i in ids))
+    assert seen == [list(range(10)), list(range(10, 20)), list(range(20, 25)), []]
+
+
+def test_failed_pull_is_made_again_with_the_same_messages(spark, tmp_path):
+    src, ckpt = str(tmp_path / "in"), str(tmp_path / "ckpt")
+    write(spark, src, "a.parquet", range(30))
+    tries = []
+
+    def down(batch, n):
+        tries.append((n, sorted(r.id for r in batch.collect())))
+        if n == 1:
+            raise RuntimeError("down")
+
+    with pytest.raises(Exception, match="down"):
+        PL.pull(stream(spark, src, limit=12), down, ckpt)
+    write(spark, src, "b.parquet", range(30, 40))  # comes while the pull is open
+    got, take = taker()
+    assert PL.pull(stream(spark, src, limit=12), take, ckpt)[0] == 1
+    assert got[1] == tries[1][1] == list(range(12, 24))
+    assert sorted(i for ids in got.values() for i in ids) == list(range(12, 40))
+
+
+def test_text_messages_and_bad_limits(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.txt").write_text("one\n\nthree")
+    got = []
+    PL.pull(PL.pull_stream(spark, str(src), fmt="text", limit=2), lambda b, n: got.append([r.value for r in b.collect()]),
+            str(tmp_path / "ckpt"))
+    assert got == [["one", ""], ["three"]]
+    for bad in (0, "x", 1.5):
+        with pytest.raises(ValueError):
+            PL.pull_stream(spark, str(src), limit=bad)
+    with pytest.raises(ValueError):
+        PL.pull_stream(spark, str(src), fmt="xml")
