@@ -5,8 +5,8 @@ character. So no piece crosses from a word into the next mark, and a text falls
 the word behind it, that are segmented alone. A worker segments every distinct chunk once (a table of chunk, ids) and
 joins the ids back to the texts by position; decoding cuts the ids before every piece that begins with a mark and
 looks each distinct run of ids up in a table in the same way. A table starts anew when it holds ``TABLE`` chunks and
-chunks of over ``KEPT_CHARS`` characters are not kept, which bounds memory and changes no result. Of a long text
-``BLOCK`` chunks are looked up at a time.
+chunks of over ``KEPT_CHARS`` characters are not kept, which bounds memory and changes no result. A long text is
+looked up by blocks.
 
 A model whose pieces do cross marks, or that changes white space, has one chunk per text.
 
@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import re
 from array import array
-from itertools import islice
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +36,28 @@ MARK = "▁"
 MODEL = "piece_bpe_32k.model"
 TABLE = 500_000
 KEPT_CHARS = 48
+#: Characters, or runs of ids, that are looked up at once.
 BLOCK = 1 << 18
 #: Ids in one record batch of a task, about.
 SENT_IDS = 1 << 20
 
 
+_CHUNK = re.compile(" ([ ]*[^ ]*)")
+_NEXT = re.compile("(?<! ) ")
+
+
+def chunk_blocks(marked: str) -> Iterator[list[str]]:
+    """The chunks of a text that begins with its mark (a blank stands for it), each without its first mark, by blocks
+    of about ``BLOCK`` characters."""
+    at = 0
+    while at < len(marked):
+        cut = _NEXT.search(marked, at + BLOCK)
+        end = cut.start() if cut else len(marked)
+        block = marked[at:end]
+        yield _CHUNK.findall(block) if "  " in block else block[1:].split(" ")
+        at = end
+
+
 class Pieces:
     """A sentencepiece model with its tables of distinct chunks."""
 
@@ -54,33 +71,61 @@ class Pieces:
         self.cuts = not any(MARK in p.lstrip(MARK) for p in names) and self.model.decode(self.model.encode(probe)) == probe
         self.begins = np.array([p.startswith(MARK) for p in names])
         self.control = np.array([self.model.is_control(i) for i in range(len(names))])
+        # texts of ordinary pieces; None for bytes, control pieces and the unknown piece, which the library decodes
+        m = self.model
+        self.spelt = [None if m.is_byte(i) or m.is_control(i) or m.is_unknown(i) or m.is_unused(i) else p.replace(MARK, " ")
+                      for i, p in enumerate(names)]
         self.mark_id = self.model.piece_to_id(MARK)
-        self.chunk = re.compile(" +[^ ]*")
         self.limit = table
-        self.clear()
-
-    def clear(self) -> None:
-        self.ids: dict[str, bytes] = {}  # int32 ids
-        self.texts: dict[bytes, str] = {}
-
-    def segment(self, chunks: list[str]) -> list[bytes]:
-        """The ids of chunks, by the library. It puts a mark of its own in front, so a chunk is given without its first;
-        that first mark alone is its piece."""
-        found = self.model.encode([c[1:] for c in chunks], num_threads=1)
-        return [array("i", i if c != " " else [self.mark_id]).tobytes() for c, i in zip(chunks, found)]
+        self.ids: dict[str, bytes] = {}  # chunk without its first mark: int32 ids
+        self.texts: dict[bytes, str] = {}  # int32 ids: text without its first blank
+
+    def _many(self, chunks: list[str]) -> list[bytes]:
+        """The ids of chunks that have one mark each, from one call of the library: a chunk's ids begin where a piece
+        begins with a mark."""
+        ids = np.array(self.model.encode(" ".join(chunks), num_threads=1), np.int32)
+        cuts = np.append(np.flatnonzero(self.begins[ids]) * 4, 4 * len(ids)).tolist()
+        raw = ids.tobytes()
+        return [raw[i:j] for i, j in zip(cuts, cuts[1:])]
+
+    def segment(self, chunks: list[str]) -> dict[str, bytes]:
+        """The ids of chunks, given without their first mark, by the library, which puts that mark in front. The mark
+        alone is its piece."""
+        plain = [c for c in chunks if c and c[0] != " "]
+        made = dict(zip(plain, self._many(plain))) if plain else {}
+        for c in chunks:
+            if c not in made:
+                made[c] = array("i", self.model.encode(c) if c else [self.mark_id]).tobytes()
+        return made
+
+    def spell(self, runs: list[bytes]) -> dict[bytes, str]:
+        """The texts of runs of ids, without the blank of a first mark: pieces joined, or by the library where a piece
+        has no spelling of its own."""
+        made, get = {}, self.spelt.__getitem__
+        for r in runs:
+            ids = memoryview(r).cast("i").tolist()
+            try:
+                text = "".join(map(get, ids))
+                made[r] = text[1:] if text[:1] == " " else text
+            except TypeError:
+                made[r] = self.model.decode(ids)
+        return made
 
     def _known(self, table: dict, keys: list, make, most: int):
         """The values of ``keys`` in order, out of the table, which gets the distinct new keys first. Keys longer than
         ``most`` are not kept."""
         new = [k for k in set(keys) if k not in table]
+        if not new:
+            return map(table.__getitem__, keys)
         if len(table) + len(new) > self.limit:
             table.clear()
             new = list(set(keys))
-        long = {}
-        for k, v in zip(new, make(new) if new else ()):
-            (table if len(k) <= most else long)[k] = v
+        made = make(new)
+        long = {k: v for k, v in made.items() if len(k) > most}
         if not long:
+            table.update(made)
             return map(table.__getitem__, keys)
+        table.update((k, v) for k, v in made.items() if k not in long)
         return (long[k] if k in long else table[k] for k in keys)
 
     def encode(self, text: str | None) -> np.ndarray:
@@ -89,16 +134,12 @@ class Pieces:
         if text and not self.cuts:
             parts.append(np.array(self.model.encode(text), np.int32))
         elif text:
-            marked = self.chunk.finditer(" " + text.replace(MARK, " "))
-            while block := [m[0] for m in islice(marked, BLOCK)]:
-                parts.append(np.frombuffer(b"".join(self._known(self.ids, block, self.segment, KEPT_CHARS)), np.int32))
+            for chunks in chunk_blocks(" " + text.replace(MARK, " ")):
+                parts.append(np.frombuffer(b"".join(self._known(self.ids, chunks, self.segment, KEPT_CHARS)), np.int32))
         return np.concatenate([*parts, np.array([self.end], np.int32)])
 
-    def _texts(self, runs: list[bytes]) -> list[str]:
-        return self.model.decode([np.frombuffer(r, np.int32).tolist() for r in runs])
-
     def decode(self, ids: np.ndarray) -> str:
-        """The text of ``ids``. A run of ids after the first begins with a mark, which the library drops, so runs are
+        """The text of ``ids``. A run of ids after the first begins with a mark, which its text leaves out, so runs are
         joined with a blank."""
         ids = np.ascontiguousarray(ids, np.int32)
         if not len(ids):
@@ -113,7 +154,7 @@ class Pieces:
         for a in range(0, len(at) - 1, BLOCK):
             edges = at[a : a + BLOCK + 1].tolist()
             runs = [raw[i:j] for i, j in zip(edges, edges[1:])]
-            out.extend(self._known(self.texts, runs, self._texts, 4 * KEPT_CHARS))
+            out.extend(self._known(self.texts, runs, self.spell, 4 * KEPT_CHARS))
         return " ".join(out)
 
 
