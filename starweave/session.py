@@ -86,16 +86,19 @@ def release_scratch(spark: SparkSession, since: int = 0) -> int:
     """Delete the scratch tables handed out since ``since`` (all by default) and
     return how many paths were released. Call it when the frames that read them
     have been written or consumed; frames stay lazy until then."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     gone = _SCRATCH[since:]
     for path in gone:
-        p = hadoop.fs.Path(path)
-        p.getFileSystem(conf).delete(p, True)
+        remove_path(spark, path)
     del _SCRATCH[since:]
     return len(gone)
 
 
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete the file or folder at ``path``, on whatever storage its scheme names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Is there a file or folder at ``path``, on whatever storage its scheme names?"""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -6,38 +6,45 @@ by position, as ``INSERT INTO t SELECT ...`` does.
 * ``load_overwrite`` — truncate then insert (the four warehouse load modes
   differ only in how the statement is sent, not in the result).
 * ``load_if_empty`` — insert only into an empty table, else raise.
-* ``truncate`` and ``load_procedure`` (truncate + insert-select, two steps,
-  not atomic between them, like the stored procedure).
-* ``replace_view`` / ``replace_function`` — create-or-replace.
+* ``truncate``, and ``load_procedure``: truncate + insert-select as one step,
+  by a switch of the table's location.
+* ``replace_view`` / ``replace_function`` — create-or-replace for the session;
+  ``objects`` has the forms that the catalog keeps.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ..functions.scalars import INITCAP_SQL_BODY
+from ..session import remove_path
 
 
 # The catalog does not keep NOT NULL for parquet tables, so ``create_table``
 # notes the required columns in this table property and every load checks them.
-_REQUIRED = "starweave.required"
+REQUIRED = "starweave.required"
 
 
 class LoadError(RuntimeError):
     pass
 
 
+def properties_of(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
 def required_of(spark: SparkSession, table: str) -> list[str]:
     """The required columns noted with a table; else those of its spec, by its
     own name."""
     from .schemas import SPECS, required_columns
 
-    props = {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
-    if _REQUIRED in props:
-        return [c for c in props[_REQUIRED].split(",") if c]
+    props = properties_of(spark, table)
+    if REQUIRED in props:
+        return [c for c in props[REQUIRED].split(",") if c]
     short = table.split(".")[-1]
     return required_columns(short) if short in SPECS else []
 
@@ -53,7 +60,7 @@ def _checked(df: DataFrame, table: str) -> DataFrame:
     return require(df.toDF(*names), required_of(df.sparkSession, table), table.split(".")[-1])
 
 
-def _ddl(schema: StructType) -> str:
+def ddl(schema: StructType) -> str:
     cols = []
     for f in schema.fields:
         cols.append(f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}")
@@ -67,7 +74,7 @@ def create_table(spark: SparkSession, name: str, schema: StructType, *, replace:
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     required = ",".join(f.name for f in schema.fields if not f.nullable)
-    spark.sql(f"CREATE TABLE {name} ({_ddl(schema)}) USING parquet TBLPROPERTIES ('{_REQUIRED}' = '{required}')")
+    spark.sql(f"CREATE TABLE {name} ({ddl(schema)}) USING parquet TBLPROPERTIES ('{REQUIRED}' = '{required}')")
 
 
 def _must_exist(spark: SparkSession, table: str) -> None:
@@ -106,10 +113,41 @@ def truncate(spark: SparkSession, table: str) -> None:
     spark.sql(f"TRUNCATE TABLE {table}")
 
 
-def load_procedure(spark: SparkSession, table: str, source: DataFrame) -> None:
-    """Truncate, then insert-select — two steps, like the procedure."""
-    truncate(spark, table)
-    _checked(source, table).write.insertInto(table, overwrite=False)
+def location_of(spark: SparkSession, table: str) -> str:
+    """Where the table's files are."""
+    return next(r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect() if r[0] == "Location")
+
+
+def load_procedure(spark: SparkSession, table: str, source: DataFrame, *, keep_old: bool = False) -> None:
+    """Truncate + insert-select as one step.
+
+    The rows are written to a new folder beside the table's, through a table
+    of the same definition, so types are checked as in any load. Then the
+    table's location is switched to it, one change in the catalog. A load that
+    fails before leaves the old rows; a reader sees the old rows or the new.
+    The old folder is removed after the switch; ``keep_old`` leaves it to
+    readers that are still at it. ``source`` may read the table itself.
+    """
+    _must_exist(spark, table)
+    if any(r[0] == "# Partition Information" for r in spark.sql(f"DESCRIBE TABLE {table}").collect()):
+        raise LoadError(f"table {table} is partitioned: each partition has a location of its own")
+    old = location_of(spark, table)
+    mark = uuid.uuid4().hex[:12]
+    folder, name = old.rstrip("/").rsplit("/", 1)
+    new = f"{folder}/{name.split('--')[0]}--{mark}"
+    stage = f"{table}__load_{mark}"
+    spark.sql(f"CREATE TABLE {stage} LIKE {table} LOCATION '{new}'")  # external: dropping it leaves the files
+    try:
+        _checked(source, table).write.insertInto(stage, overwrite=False)
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {stage}")
+        remove_path(spark, new)
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {stage}")
+    spark.catalog.refreshTable(table)
+    if not keep_old:
+        remove_path(spark, old)
 
 
 def replace_view(df: DataFrame, name: str) -> None:
