@@ -79,16 +79,32 @@ def normalise(df: DataFrame, outputs: int, *refs: ColRef, blanks: str = "y",
     return df.select(*[df[c] for c in common], F.inline(arr))
 
 
-def split_attributes(df: DataFrame, delimiter: str, *refs: ColRef, width: int | None = None) -> DataFrame:
+def split_widths(df: DataFrame, delimiter: str, *refs: ColRef) -> dict[str, int]:
+    """The most parts that each field splits into, at least 1: one pass over
+    these fields, a maximum per task."""
+    targets = names_of(df, refs)
+    widths = df.agg(*[F.max(F.size(split_literal(df[c], delimiter))).alias(f"w{i}") for i, c in enumerate(targets)]).first()
+    return {c: max(1, w or 1) for c, w in zip(targets, widths)}
+
+
+def split_attributes(df: DataFrame, delimiter: str, *refs: ColRef, width: int | str | None = None) -> DataFrame:
     """R2: split fields on a literal delimiter, each part stripped of
     surrounding whitespace.
 
     With ``width`` the parts replace the field in place as ``name_1 ..
     name_width``; missing parts are NULL and more than ``width`` parts raise.
-    Without ``width`` the field becomes an array of its parts.
+    ``width='auto'`` finds the width of each field in the data
+    (``split_widths``, which reads ``df`` once more), so nothing is lost and
+    nothing raises. Without ``width`` the field becomes an array of its parts.
     """
     targets = set(names_of(df, refs))
-    if width is not None:  # a filter, so that it runs whichever parts are read later
+    if width == "auto":
+        widths = split_widths(df, delimiter, *refs)
+    elif isinstance(width, str):
+        raise ValueError("width must be a number, 'auto' or None")
+    else:
+        widths = dict.fromkeys(targets, width)
+    if width is not None and width != "auto":  # a filter, so that it runs whichever parts are read later
         for c in sorted(targets):
             msg = F.concat(F.lit(f"field {c} splits into more than {width} parts: "), df[c])
             over = F.coalesce(F.size(split_literal(df[c], delimiter)) > width, F.lit(False))
@@ -102,7 +118,7 @@ def split_attributes(df: DataFrame, delimiter: str, *refs: ColRef, width: int |
         if width is None:
             out.append(parts.alias(c))
         else:
-            out += [F.get(parts, i).alias(f"{c}_{i + 1}") for i in range(width)]
+            out += [F.get(parts, i).alias(f"{c}_{i + 1}") for i in range(widths[c])]
     return df.select(*out)
 
 

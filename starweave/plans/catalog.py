@@ -295,6 +295,26 @@ def q_string_agg_rows(spark, sf):
     return A.string_agg_ordered(li, ["l_orderkey"], "line", "line", sep=",", name="lines")
 
 
+@register("string_agg_chunks", """
+with l as (select l_returnflag, l_orderkey, cast(l_linenumber as varchar) || ':' || cast(l_partkey as varchar) || ':'
+                  || cast(l_suppkey as varchar) as line from lineitem),
+n as (select *, row_number() over (order by l_returnflag nulls first, l_orderkey, line) - 1 as r from l),
+c as (select l_returnflag, r // 10000 as c, string_agg(line, ',' order by r) as body from n group by 1, 2),
+t as (select l_returnflag, row_number() over (partition by l_returnflag order by c) - 1 as chunk, body from c),
+s as (select l_returnflag, chunk, case when chunk > 0 then ',' else '' end || body as text from t)
+select l_returnflag, cast(chunk as bigint) as chunk, md5(text) as text_md5,
+       cast(sum(length(text)) over (partition by l_returnflag order by chunk) - length(text) as bigint) as begin
+from s""")
+def q_string_agg_chunks(spark, sf):
+    # STRING_AGG of groups that are a third of the table each: chunks of the
+    # aggregate, dealt over the tasks by ranges of the order.
+    li = T(spark, sf, "lineitem").select("l_returnflag", "l_orderkey", F.concat_ws(
+        ":", F.col("l_linenumber").cast("string"), F.col("l_partkey").cast("string"),
+        F.col("l_suppkey").cast("string")).alias("line"))
+    chunks = A.string_agg_chunks(li, ["l_returnflag"], "line", ["l_orderkey", "line"], ",")
+    return chunks.select("l_returnflag", "chunk", "begin", F.md5("text").alias("text_md5"))
+
+
 # ======================================================================== X3
 @register("composite_transform", """
 select cast(row_number() over (order by o_orderpriority nulls first, orders desc nulls last) as bigint) as id,
@@ -439,6 +459,16 @@ def q_split_attributes(spark, sf):
     return R.split_attributes(p, "-", "program_event_nm", width=2)
 
 
+@register("split_attributes_auto", with_staging("""
+select performance_id, trim(split_part(skater_nm, '/', 1)) as skater_nm_1,
+       case when skater_nm like '%/%' then trim(split_part(skater_nm, '/', 2)) end as skater_nm_2, nationality
+from s_performances""", "s_performances"))
+def q_split_attributes_auto(spark, sf):
+    # As many columns as the longest split has parts, found in the data.
+    p = stg.s_performances(spark, sf).select("performance_id", "skater_nm", "nationality")
+    return R.split_attributes(p, "/", "skater_nm", width="auto")
+
+
 # ===================================================================== F1-F15
 @register("translate_chain", with_staging("""
 select performance_id, replace(replace(skater_nm, 'a', 'b'), 'b', 'a') as chained,

@@ -12,8 +12,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..functions.scalars import INITCAP_SQL_BODY
+from ..operators import keys as K
 from ..operators.reshape import fan_out
 from ..session import read_table, scratch_path
+from ..sources import objects as OB
 from ..sources import schemas as SC
 from ..sources import tables as TB
 from ..sources import text as TX
@@ -108,6 +111,18 @@ def q_text_sink(spark, sf):
     return TX.read_text_table(spark, path, person.columns, "|")
 
 
+@register("text_one_file", """
+select cast(o_orderkey as varchar) as o_orderkey, o_orderstatus, o_orderpriority,
+       cast(row_number() over (order by o_orderkey) as varchar) as line_no from orders""")
+def q_text_one_file(spark, sf):
+    # One file of a given name, its lines in order, written by many tasks.
+    path = f"{scratch_path(spark, 'one_file')}/orders.dat"
+    o = read_table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    keyed = K.dense_key(o, ["o_orderkey"], "line_no", first=False)
+    TX.write_text(keyed.repartitionByRange("line_no").sortWithinPartitions("line_no"), path, "|", single_file=True)
+    return TX.read_text_table(spark, path, keyed.columns, "|")
+
+
 @register("schema_check", with_staging("select * from s_judged_aspects", "s_judged_aspects"))
 def q_schema_check(spark, sf):
     return SC.conform(stg.s_judged_aspects(spark, sf), "s_judged_aspects")
@@ -173,6 +188,23 @@ def q_sql_udf(spark, sf):
     return spark.sql(f"select performance_id, initcap_words(skater_nm) as skater_cap from {view}")
 
 
+@register("define_objects", f"""
+select p_partkey, p_name, {d_initcap('p_name')} as name_cap from part""")
+def q_define_objects(spark, sf):
+    # A table, a function and a view that the catalog keeps; equal definitions leave them, and the rows, alone.
+    t, f, v = _table_name("part"), f"default.{_table_name('cap')}", _table_name("part_v")
+    p = read_table(spark, sf, "part").select("p_partkey", "p_name")
+    OB.define_table(spark, t, p.schema)
+    TB.load_procedure(spark, t, p)
+    function = (spark, f, [("str", "STRING")], "STRING", INITCAP_SQL_BODY)
+    view = (spark, v, f"select p_partkey, p_name, {f}(p_name) as name_cap from {t}")
+    OB.define_function(*function)
+    OB.define_view(*view)
+    again = OB.define_table(spark, t, p.schema), OB.define_function(*function), OB.define_view(*view)
+    assert again == ("kept",) * 3, again
+    return spark.table(v)
+
+
 @register("fan_out", with_staging("""
 select a.aspect_type_nm, a.n_aspects, b.n_performances
 from (select aspect_type_nm, count(*) as n_aspects from s_judged_aspects group by aspect_type_nm) a

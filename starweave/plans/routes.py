@@ -297,10 +297,10 @@ def files_route_tables(spark: SparkSession, csv_dir: str, only: list[str] | None
 
 
 def run_files_route(spark: SparkSession, csv_dir: str, out_dir: str) -> dict[str, str]:
-    """Build the six outputs and write each as pipe-delimited text files."""
+    """Build the six outputs and write each as one pipe-delimited text file."""
     out = {}
     for name, df in files_route_tables(spark, csv_dir).items():
         path = os.path.join(out_dir, OUTPUT_FILES[name])
-        TX.write_text(df, path, "|", mode="overwrite")
+        TX.write_text(df, path, "|", mode="overwrite", single_file=True)
         out[name] = path
     return out

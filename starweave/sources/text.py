@@ -151,15 +151,16 @@ def rec_to_text(cols: Sequence[Column], delimiter: str = "|") -> Column:
 
 def write_text(df: DataFrame, path: str, delimiter: str = "|", *, mode: str = "error",
                single_file: bool = False) -> None:
-    """Write each row as one delimited line, one file per partition.
-
-    ``single_file`` funnels all rows through one writer task: only for outputs
-    known to be small (a dimension of a few thousand rows).
-    """
+    """Write each row as one delimited line, one file per partition under
+    the folder ``path``; with ``single_file`` as one file of that name, still
+    written by many tasks (``files.write_one_file``)."""
     out = df.select(rec_to_text([df[c] for c in df.columns], delimiter).alias("value"))
     if single_file:
-        out = out.coalesce(1)
-    out.write.mode(mode).text(path)
+        from .files import write_one_file
+
+        write_one_file(out, path, mode=mode)
+    else:
+        out.write.mode(mode).text(path)
 
 
 def read_text_table(spark: SparkSession, path: str, names: Sequence[str], delimiter: str = "|") -> DataFrame:

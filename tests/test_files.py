@@ -1,0 +1,44 @@
+"""One text file of a given name, written in parallel."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from starweave.sources import files as FL
+from starweave.sources import text as TX
+
+
+def test_one_file_in_the_order_of_the_frame(spark, tmp_path):
+    path = tmp_path / "out" / "person.dat"
+    df = spark.range(5000).select("id", F.when(F.col("id") % 7 > 0, F.repeat(F.lit("é"), (F.col("id") % 40).cast("int"))).alias("v"))
+    ranged = df.repartitionByRange(9, "id").sortWithinPartitions("id")
+    TX.write_text(ranged, str(path), "|", single_file=True)
+    want = [f"{i}|{'é' * (i % 40) if i % 7 else ''}" for i in range(5000)]
+    assert path.is_file() and path.read_text().splitlines() == want
+    assert sorted(os.listdir(path.parent)) in (["person.dat"], [".person.dat.crc", "person.dat"])
+    with pytest.raises(FileExistsError):
+        TX.write_text(df, str(path), "|", single_file=True)
+    TX.write_text(df.limit(0), str(path), "|", mode="overwrite", single_file=True)
+    assert path.read_bytes() == b""
+
+
+def test_long_parts_are_dealt_to_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(FL, "TASK_BYTES", 1000)
+    monkeypatch.setattr(FL, "BLOCK", 300)
+    path = str(tmp_path / "x.txt")
+    df = spark.range(3000).select(F.concat(F.lit("row "), F.col("id").cast("string")).alias("v")).coalesce(2)
+    n = FL.write_one_file(df, path)
+    assert open(path).read() == "".join(f"row {i}\n" for i in range(3000)) and n == os.path.getsize(path)
+    assert len(FL._places([("a", 2500), ("b", 0), ("c", 10)], 1000)) == 4
+
+
+def test_a_failed_write_leaves_the_old_file(spark, tmp_path):
+    path = str(tmp_path / "x.txt")
+    FL.write_one_file(spark.createDataFrame([("old",)], "v string"), path)
+    dying = spark.range(100).repartition(4).select(F.when(F.col("id") == 50, F.raise_error(F.lit("lost"))).otherwise("new").alias("v"))
+    with pytest.raises(Exception, match="lost"):
+        FL.write_one_file(dying, path, mode="overwrite")
+    assert open(path).read() == "old\n" and len([f for f in os.listdir(tmp_path) if "crc" not in f]) == 1
+    with pytest.raises(ValueError):
+        FL.write_one_file(dying, path, mode="append")

@@ -99,3 +99,18 @@ def test_split_attributes_width_is_checked_whatever_is_read(spark):
 
     with pytest.raises(Exception, match="more than 2 parts"):
         R.split_attributes(df, "-", "v", width=2).select("v_2").collect()
+
+
+def test_split_attributes_finds_the_width(spark):
+    df = spark.createDataFrame([(1, "a - b", "x"), (2, "c", None), (3, None, "y,z,w"), (4, "d-e-f-g", "")],
+                               "k long, v string, w string")
+    got = R.split_attributes(df, "-", "v", width="auto")
+    assert got.columns == ["k", "v_1", "v_2", "v_3", "v_4", "w"]
+    assert [tuple(r)[1:5] for r in got.orderBy("k").collect()] == [
+        ("a", "b", None, None), ("c", None, None, None), (None,) * 4, ("d", "e", "f", "g")]
+    two = R.split_attributes(df.replace("-", ","), ",", "v", "w", width="auto")
+    assert two.columns == ["k", "v_1", "w_1", "w_2", "w_3"]
+    assert R.split_attributes(df.limit(0), "-", "v", width="auto").columns == ["k", "v_1", "w"]
+    assert R.split_widths(df, "-", "v", "w") == {"v": 4, "w": 1}
+    with pytest.raises(ValueError):
+        R.split_attributes(df, "-", "v", width="wide")
