@@ -22,6 +22,13 @@ numbers rows the distributed way instead:
    sum is the offset of each partition, an n-row table that is broadcast.
 4. key = start + (offset + position in partition) * interval — no second
    shuffle.
+
+The range sampling runs the input once more, as a second shuffle would. With
+``by_position`` the input runs once: its rows are written as they come, steps
+1 to 4 take the order columns and the row position only, and the keys join the
+written rows by position. The range shuffle and the tagged copy are then as
+narrow as the order; the rows travel once, in the join, with the columns that
+the reader wants.
 """
 
 from __future__ import annotations
@@ -46,12 +53,18 @@ def _order_cols(df: DataFrame, order: Sequence[OrderItem], descending: bool = Fa
 
 
 def dense_key(df: DataFrame, order: Sequence[OrderItem], name: str = "id", *, start: int = 1, interval: int = 1,
-              partitions: int | None = None, descending: bool = False, first: bool = True) -> DataFrame:
+              partitions: int | None = None, descending: bool = False, first: bool = True,
+              by_position: bool = False) -> DataFrame:
     """Prepend ``name`` = start, start+interval, ... in ``order``
     (NULLs first ascending, as SQL windows order). Distributed; see module
-    docstring. ``first=False`` appends the key instead of prepending it."""
+    docstring. ``first=False`` appends the key instead of prepending it.
+    ``by_position`` numbers the order columns alone: for rows that are wide, or
+    costly to make twice."""
     if not order:
         raise ValueError("dense_key needs an order")
+    if by_position:
+        return _key_by_position(df, order, name, first, dict(
+            start=start, interval=interval, partitions=partitions, descending=descending))
     spark = df.sparkSession
     sort_cols = _order_cols(df, order, descending)
     # Without an explicit count AQE sizes the range partitions from the
@@ -81,6 +94,20 @@ def dense_key(df: DataFrame, order: Sequence[OrderItem], name: str = "id", *, st
     return out.select(key, *rest) if first else out.select(*rest, key)
 
 
+def _key_by_position(df: DataFrame, order: Sequence[OrderItem], name: str, first: bool, how: dict) -> DataFrame:
+    """The rows are written once, as they come, each with its position; the
+    order columns and positions, read back from there, are numbered, and the
+    keys join the rows by position."""
+    names = [f"__order_{i}" for i in range(len(order))]
+    exprs = [(o if isinstance(o, Column) else df[name_of(df, o)]).alias(n) for o, n in zip(order, names)]
+    rows = materialize(df.select("*", *exprs, F.monotonically_increasing_id().alias("__position")), "dense_rows")
+    keys = dense_key(rows.select(*names, "__position"), names, "__key", **how).select(
+        F.col("__position").alias("__at"), F.col("__key").alias(name))
+    out = rows.drop(*names).join(keys, F.col("__position") == F.col("__at"))
+    rest = [F.col(c) for c in df.columns]
+    return out.select(F.col(name), *rest) if first else out.select(*rest, F.col(name))
+
+
 def dense_rank_key(df: DataFrame, order: Sequence[OrderItem], name: str = "id", **kw) -> DataFrame:
     """``dense_rank() OVER (ORDER BY keys)``: equal keys share a number.
 

@@ -349,6 +349,16 @@ def q_row_number_key(spark, sf):
     return K.dense_key(li, _LI_ORDER, "id")
 
 
+@register("row_number_wide", """
+select cast(row_number() over (order by c_mktsegment nulls first, o_orderkey) as bigint) as id, o.*, c_name, c_mktsegment
+from orders o join customer on o_custkey = c_custkey""")
+def q_row_number_wide(spark, sf):
+    # Wide rows out of a join: it runs once, and only the order columns are ranged.
+    o, c = T(spark, sf, "orders"), T(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    rows = o.join(c, o.o_custkey == c.c_custkey).drop("c_custkey")
+    return K.dense_key(rows, ["c_mktsegment", "o_orderkey"], "id", by_position=True)
+
+
 @register("dense_rank_key", """
 select cast(dense_rank() over (order by p_brand nulls first, p_size nulls first) as bigint) as id,
        p_partkey, p_name, p_brand, p_size

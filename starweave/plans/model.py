@@ -73,7 +73,8 @@ def raw_people(perfs: DataFrame, judges: DataFrame) -> DataFrame:
 def person_view(perfs: DataFrame, judges: DataFrame) -> DataFrame:
     people = S.with_name_parts(raw_people(perfs, judges), "nm").select(
         "forename", "surname", "gender", "nationality", F.col("nm").alias("raw_nm"))
-    return dense_key(people, ["surname", "forename", "nationality", "gender", "raw_nm"], "person_id")
+    # names are cut once: the range sample of the dense key reads what was cut
+    return dense_key(people, ["surname", "forename", "nationality", "gender", "raw_nm"], "person_id", by_position=True)
 
 
 D_PERSON_COLS = ["person_id", "forename", "surname", "gender", "nationality"]
@@ -227,6 +228,8 @@ def build_model(spark: SparkSession, sf_dir: str, upto: str = "f_perf_aspect_sco
             perfs = materialize(perfs, "s_performances")
     if need & {"d_person", "f_perf_aspect_score"}:
         judges = stg.s_judges(spark, sf_dir, perfs)
+        if materialize_staging:  # read by the range sample and the shuffle of d_person, and by the judge roles
+            judges = materialize(judges, "s_judges")
     if need & {"d_aspect", "f_perf_aspect"}:
         aspects = stg.s_judged_aspects(spark, sf_dir)
         if materialize_staging and "f_perf_aspect" in need:

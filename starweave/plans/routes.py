@@ -26,6 +26,7 @@ from ..operators import joins as J
 from ..operators.joins import BROADCAST_ROWS as DIM
 from ..operators import keys as K
 from ..operators import reshape as R
+from ..session import materialize
 from ..sources import schemas as SC
 from ..sources import text as TX
 from ..sources.records import read_csv_quoted
@@ -179,10 +180,11 @@ class FilesModel:
         self.csv_dir = csv_dir
 
     def source(self, table: str) -> DataFrame:
-        """The lines of a source file as text columns under the names of its spec."""
+        """The lines of a source file as text columns under the names of its spec, parsed and written once: several
+        tables read them, and their dense keys read them twice."""
         lines = TX.read_lines(self.spark, os.path.join(self.csv_dir, SOURCE_FILES[table]), skip_header=True)
         piped = lines.select(TX.switch_delimiters(F.col("line"), ",", "|").alias("line"))
-        return TX.rec_fields(piped, "line", "|", [name for name, _, _ in SC.SPECS[table]])
+        return materialize(TX.rec_fields(piped, "line", "|", [name for name, _, _ in SC.SPECS[table]]), table)
 
     @cached_property
     def performances(self) -> DataFrame:

@@ -69,3 +69,28 @@ def test_first_n(spark):
     top = K.first_n(o, 5, order=["o_totalprice", "o_orderkey"], descending=True).collect()
     best = o.orderBy(F.col("o_totalprice").desc(), F.col("o_orderkey").desc()).limit(5).collect()
     assert top == best
+
+
+def test_keys_by_position_equal_the_plain_window_and_read_the_input_once(spark):
+    li = read_table(spark, SMALL, "lineitem")
+    ref = plain_window_key(li, ORDER, "id")
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    once = li.withColumn("l_orderkey", counted("l_orderkey"))
+    got = K.dense_key(once, ORDER, "id", by_position=True)
+    assert seen.value == li.count()
+    assert got.columns == ref.columns and got.exceptAll(ref).count() == 0 and got.count() == ref.count()
+    assert seen.value == li.count()  # nothing of the input runs again
+
+
+def test_keys_by_position_with_start_nulls_and_expressions(spark):
+    df = spark.createDataFrame([("b", 1), (None, 2), ("a", 3), ("a", 3)], "x string, id2 long").repartition(3)
+    got = K.dense_key(df, [F.upper("x"), "id2"], "id", start=10, interval=5, first=False, by_position=True)
+    assert got.columns == ["x", "id2", "id"]
+    assert [tuple(r) for r in got.orderBy("id").collect()] == [(None, 2, 10), ("a", 3, 15), ("a", 3, 20), ("b", 1, 25)]
+    assert K.dense_key(df.limit(0), ["x"], "id", by_position=True).collect() == []
