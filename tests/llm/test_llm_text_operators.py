@@ -267,3 +267,43 @@ def test_quality_sketches_merge(spark):
     key = ["lang", "source"]
     merged, whole = quartiles(halves[0].union(halves[1]), key), quartiles(sketch(rated), key)
     assert sorted(map(str, merged.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_page_text_puts_no_blank_into_words(spark):
+    html = "<p>He<b>llo</b>, <a href=x>link</a>. Good<i>bye</i>!<br>Next<wbr>word &amp;<span> more</span></p>\n<p> two\n\tlines</p>"
+    assert texts_of(spark, [(1, "https://a.example/", html)]) == {1: "Hello, link. Goodbye! Nextword & more two lines"}
+
+
+def test_page_text_keeps_all_regions_of_the_body(spark):
+    def two(i):
+        return (f"<body><nav><a href=/>menu</a></nav><div><div><p>{f'first part {i} ' * 20}</p></div><div><p>{f'second {i} ' * 7}</p></div></div>"
+                f"<div class=comments><p>reader {i} says</p></div></body>")
+
+    def results(i):
+        return (f"<body><article><h1>T{i}</h1><p>{f'text {i} ' * 9}</p><div class='search-results'><p>found {i}</p></div>"
+                f"<h2 id='social-media'>Media {i}</h2><div class='share'><p>share {i}</p></div></article></body>")
+
+    want = {i: " ".join([f"first part {i}"] * 20 + [f"second {i}"] * 7) for i in range(6)}
+    assert texts_of(spark, [(i, f"https://two.example/{i}", two(i)) for i in want]) == want
+    want = {i: " ".join([f"T{i}"] + [f"text {i}"] * 9 + [f"found {i}", f"Media {i}"]) for i in range(6)}
+    assert texts_of(spark, [(i, f"https://res.example/{i}", results(i)) for i in want]) == want
+    plain = {i: results(i).replace("article>", "div>") for i in want}  # the wrapper's region, without a tag that says so
+    assert texts_of(spark, [(i, f"https://div.example/{i}", plain[i]) for i in want]) == want
+
+
+def test_page_text_of_deep_wide_and_broken_pages(spark):
+    from time import process_time
+
+    from starweave.llm.page_text import extract
+
+    deep = "<div>" * 200 + "<nav>MENU</nav><p>body<script>x</script> text</p><div class=ad>AD</div>" + "</div>" * 200
+    assert extract(deep, None) == "body text"
+    wide = "".join(f"<div>part {i}</div>" for i in range(5000))
+    rows = [(k, f"https://w.example/{k}", wide.replace("part", f"part of {k}")) for k in range(4)]
+    got = texts_of(spark, rows)
+    assert got[2] == " ".join(f"part of 2 {i}" for i in range(5000))
+    for broken in ("<b>x " * 100_000, "<b>" * 50_000 + "</i>" * 50_000 + "x", "<b>" * 50_000 + "<h2>x</h2>" * 20_000,
+                   "<head>" + "<title>" * 3 + "<b>x " * 50_000, "<p><b>x" * 50_000, "<li>x" * 50_000):
+        begun = process_time()
+        assert "x" in extract(broken, None)
+        assert process_time() - begun < 4
