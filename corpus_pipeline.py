@@ -64,15 +64,15 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: an epoch that takes at least half of its words counts, so only the
-    document where a source's target falls is rounded. Documents without words carry nothing to mix and stay once."""
-    taken = mixing.taken_words(docs)
+    document where a source's target falls is rounded. Documents without words carry nothing to mix and stay once. Rows
+    are known by a number of their own, so null and repeated ids make no difference."""
+    rows = materialize(docs.withColumn("_mix_row", F.monotonically_increasing_id()), "mix_rows")
+    taken = mixing.taken_rows(rows, row="_mix_row")
     times = F.when(F.col("size") == 0, 1).otherwise(F.floor((2 * F.col("taken") + F.col("size")) / (2 * F.col("size"))))
-    copies = materialize(taken.withColumn("n", times.cast("int")).groupBy("doc_id").agg(F.max("n").alias("mix_copies")), "copies")
-    names = docs.columns
-    joined = docs.alias("d").join(
-        checked_broadcast(copies, MAX_IDS).alias("c"), F.expr("d.doc_id <=> c.doc_id")).filter("c.mix_copies > 0")
-    return joined.select(*(F.col(f"d.`{n}`") for n in names), F.explode(F.sequence(F.lit(1), F.col("c.mix_copies"))).alias(
-        "mix_copy_no")).select(*names)
+    copies = materialize(taken.select(F.col("row_id").alias("_mix_row"), times.cast("int").alias("_mix_copies")).filter(
+        "_mix_copies > 0"), "copies")
+    joined = rows.join(checked_broadcast(copies, MAX_IDS), "_mix_row")
+    return joined.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies")))).select(*docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
