@@ -6,7 +6,8 @@ digits, or ten as ``(nnn) nnn-nnnn``), IPv4 addresses (octets up to 255), social
 value is a pair (l, r) below (a, b), and ``ROUNDS`` rounds add a keyed SHA-256 of one half to the other, modulo a and
 b by turns. That is a permutation of the domain with any a and b, so a value keeps its format, equal values get equal
 pseudonyms in all documents, different ones different, and ``inverse`` undoes it with the key. A card's check digit is
-computed anew, so cards stay valid; a telephone number keeps its country code; separators stay. Mail addresses are no
+computed anew, so cards stay valid; a telephone number keeps its country code, which its first digits tell, and a trunk zero in
+brackets, so a number has one pseudonym in any notation; dates stay inside 1900 to 2099; separators stay. Mail addresses are no
 numbers: their local part becomes a keyed hash, the domain stays.
 
 Defined cases: a null text stays null, an empty one empty, with no findings; numbers that fail their check stay as
@@ -19,12 +20,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
-#: Days from 1900-01-01 to 2099-12-31, as a product.
+#: Days from 1900-01-01 to 2099-12-31.
+DAYS = 73_049
+#: The least product of two like factors that holds them; the two numbers above are walked past.
 DAY_FACTORS = (229, 319)
 
+# The country codes of telephone numbers, by their length; all others have three digits.
+COUNTRY = "^(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
+
 # The shapes.
 SHAPES = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:[.][A-Za-z0-9-]++)+",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:[.][A-Za-z0-9-]++)++",
     "phone": r"[+][0-9]{1,3}[ .-]?(?:[(][0-9]{1,4}[)][ .-]?)?[0-9]{1,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])"
              r"|[(][0-9]{3}[)] ?[0-9]{3}[ .-][0-9]{4}(?![0-9])",
     "date": r"(?<![0-9./-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}([./])[0-9]{2}\1(?:19|20)[0-9]{2})(?![0-9/-]|[.][0-9])",
@@ -37,6 +43,10 @@ KINDS = tuple(SHAPES)
 PATTERN = "|".join(SHAPES[k] for k in KINDS)
 
 
+#: Stands for a trunk zero in brackets, which is not dialled from abroad, while digits are changed.
+TRUNK = "(\x01)"
+
+
 def _hash(key: str, kind: Column, n: Column, turn: Column, value: Column) -> Column:
     """48 bits of a keyed SHA-256."""
     said = F.concat_ws("|", F.lit(key), kind, n.cast("string"), turn.cast("string"), value.cast("string"))
@@ -118,24 +128,29 @@ def pseudonym(value: Column, kind: Column, key: str, inverse: bool = False) -> C
     body = F.substr(digits, F.lit(1), F.length(digits) - 1)
     card = _number(key, "card", body, inverse)
     card = F.concat(card, F.pmod(10 - F.pmod(_luhn_sum(card), F.lit(10)), F.lit(10)).cast("string"))
-    code = F.regexp_extract(value, "^[+]([0-9]{1,3})(?=[ .(-])", 1)
-    code = F.when(code == "", F.substring(digits, 1, 1)).otherwise(code)
-    code = F.when(value.startswith("("), "").otherwise(code)
-    phone = F.concat(code, _number(key, "phone", F.substr(digits, F.length(code) + 1), inverse))
+    dialled = F.replace(value, F.lit("(0)"), F.lit(TRUNK))
+    called = _digits(dialled)
+    code = F.when(value.startswith("("), "").otherwise(F.regexp_extract(called, COUNTRY, 0))
+    phone = F.concat(code, _number(key, "phone", F.substr(called, F.length(code) + 1), inverse))
+    phone = F.replace(_fill(dialled, phone), F.lit(TRUNK), F.lit("(0)"))
     octets = F.split(value, "[.]")
     ip = F.aggregate(octets, F.lit(0).cast("long"), lambda s, o: s * 256 + o.cast("long"))
     half = F.lit(65536).cast("long")
     ip = feistel(key, F.lit("ip"), F.lit(4), ip, half, half, inverse)
     dotted = F.concat_ws(".", *(F.pmod(F.shiftright(ip, 24 - 8 * i), F.lit(256)).cast("string") for i in range(4)))
     a, b = (F.lit(f).cast("long") for f in DAY_FACTORS)
-    day = F.date_add(F.lit("1900-01-01").cast("date"), feistel(key, F.lit("date"), F.lit(8), _day(value).cast("long"), a, b, inverse).cast("int"))
+    # on from a number that is no day, to the next that is
+    number = F.aggregate(
+        F.sequence(F.lit(0), F.lit(DAY_FACTORS[0] * DAY_FACTORS[1] - DAYS)), _day(value).cast("long"),
+        lambda n, i: F.when((i > 0) & (n < DAYS), n).otherwise(feistel(key, F.lit("date"), F.lit(8), n, a, b, inverse)))
+    day = F.date_add(F.lit("1900-01-01").cast("date"), number.cast("int"))
     iso = F.date_format(day, "yyyy-MM-dd")
     part = F.substring(value, 3, 1)
     date = F.when(value.rlike("^[0-9]{4}"), iso).otherwise(F.concat(
         F.substring(iso, 9, 2), part, F.substring(iso, 6, 2), part, F.substring(iso, 1, 4)))
     at = F.instr(value, "@")
     mail = F.concat(F.lit("u"), F.substring(F.sha2(F.concat_ws("|", F.lit(key), F.lower(value)), 256), 1, 16), F.substr(value, at))
-    return (F.when(kind == "card", _fill(value, card)).when(kind == "phone", _fill(value, phone)).when(kind == "ip", dotted)
+    return (F.when(kind == "card", _fill(value, card)).when(kind == "phone", phone).when(kind == "ip", dotted)
             .when(kind == "date", date).when(kind == "ssn", _fill(value, _number(key, "ssn", digits, inverse)))
             .when(kind == "email", value if inverse else mail).otherwise(value))
 

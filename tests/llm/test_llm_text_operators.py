@@ -307,3 +307,65 @@ def test_page_text_of_deep_wide_and_broken_pages(spark):
         begun = process_time()
         assert "x" in extract(broken, None)
         assert process_time() - begun < 4
+
+
+def changed(spark, texts, inverse=False):
+    from starweave.llm.pseudonyms import pseudonymise
+
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r.text for r in sorted(pseudonymise(docs, "k", inverse).collect())]
+
+
+def test_pseudonyms_of_very_long_mail_addresses(spark):
+    long = ["a@" + "b." * 500_000 + "c", "a" * 1_000_000 + "@b.example", "x" * 1_000_000 + "@", "a@" + "b." * 300_000, "9" * 500_000]
+    out = changed(spark, long)
+    assert out[0].endswith(long[0][2:]) and len(out[0]) == len(long[0]) + 16 and out[1].endswith("@b.example") and len(out[1]) == 27
+    assert out[2] == long[2] and out[3].endswith("b." * 300_000) and out[4] == long[4]
+
+
+def test_pseudonyms_link_a_number_in_every_notation(spark):
+    same = [["+33 6 12 34 56 78", "+33612345678", "+33-612-345-678"], ["+44 (0)20 7946 0958", "+44 20 7946 0958", "+442079460958"],
+            ["+1 555 123 4567", "+1 (555) 123-4567", "+15551234567"], ["+358 40 123 4567", "+358401234567"]]
+    code = ["33", "44", "1", "358"]
+    for values, c in zip(same, code):
+        out = changed(spark, [f"call {v} now" for v in values])
+        dialled = {re.sub("[^0-9]", "", t.replace("(0)", "")) for t in out}
+        assert len(dialled) == 1 and dialled.pop().startswith(c) and out[0] != f"call {values[0]} now"
+        assert changed(spark, out, inverse=True) == [f"call {v} now" for v in values]
+    assert changed(spark, ["+44 (0)20 7946 0958"])[0].startswith("+44 (0)")
+    # a national number and the same after +1 end alike
+    assert changed(spark, ["(555) 123-4567"])[0][-8:] == changed(spark, ["+1 (555) 123-4567"])[0][-8:]
+
+
+def test_pseudonyms_of_all_dates_stay_dates(spark):
+    from datetime import date, timedelta
+
+    days = [str(date(1900, 1, 1) + timedelta(i)) for i in range(73_049)]
+    out = changed(spark, days)
+    assert sorted(out) == days
+    assert changed(spark, out, inverse=True) == days
+
+
+def test_feistel_equals_a_plain_one(spark):
+    import hashlib
+
+    from starweave.llm.pseudonyms import ROUNDS, _number
+
+    def plain(key, kind, digits):
+        n = len(digits)
+        low = -(-n // 2)
+        a, b = 10 ** (n - low), 10**low
+        left, right = divmod(int(digits), b)
+        for i in range(ROUNDS):
+            half = right if i % 2 == 0 else left
+            h = int(hashlib.sha256(f"{key}|{kind}|{n}|{i}|{half}".encode()).hexdigest()[:12], 16)
+            if i % 2 == 0:
+                left = (left + h) % a
+            else:
+                right = (right + h) % b
+        return str(left * b + right).zfill(n)
+
+    random.seed(3)
+    numbers = ["".join(random.choice("0123456789") for _ in range(random.randint(2, 18))) for _ in range(300)]
+    df = spark.createDataFrame([(x,) for x in numbers], "d string").select("d", _number("k", "card", F.col("d"), False).alias("p"))
+    assert {r.d: r.p for r in df.collect()} == {x: plain("k", "card", x) for x in numbers}
