@@ -313,6 +313,28 @@ def test_url_lists_as_of(spark):
     assert evaluate(captures.limit(0), changes).count() == 0
 
 
+def test_url_lists_take_entries_of_any_form_and_day(spark):
+    from datetime import date
+
+    from starweave.llm.url_lists import evaluate
+
+    entries = ["ex.com/a/b", "Bad.COM", "https://Deep.example/X/y/", "example.org/only", "ok.com", "zz", "path.example/a/b/c/d/e"]
+    changes = spark.createDataFrame([("block", e, date(2024, 1, 1), "add") for e in entries] + [
+        ("block", "", date(2024, 1, 1), "add"), ("block", "/x", date(2024, 1, 1), "add"),
+        ("block", "old.example", date(1990, 1, 1), "add"), ("block", "old.example", date(2030, 6, 15), "remove")],
+        "list string, entry string, day date, action string")
+    late = date(2101, 5, 5)
+    cases = [("http://ex.com/a/b/c?q", late, True), ("http://ex.com/a/bc", late, False), ("http://ex.com/a", late, False),
+             ("http://www.bad.com/", late, True), ("http://deep.example/X/y", date(9999, 12, 31), True),
+             ("http://deep.example/x/y", late, False), ("http://www.example.org/only/this", late, True),
+             ("http://ok.com./z", late, True), ("http://host.zz/", late, True), ("http://zz/", late, True),
+             ("http://path.example/a/b/c/d/e/f", late, True), ("http://path.example/a/b/c/d/", late, False),
+             ("http://old.example/", date(2030, 6, 14), True), ("http://old.example/", date(2030, 6, 15), False),
+             ("http://ex.com" + "/a" * 200_000, late, False), ("http://ex.com/a/b" + "/c" * 200_000, late, True)]
+    got = evaluate(spark.createDataFrame([(i, u, d) for i, (u, d, _) in enumerate(cases)], "page_id long, url string, day date"), changes)
+    assert {r.page_id: r.blocked for r in got.collect()} == {i: b for i, (_, _, b) in enumerate(cases)}
+
+
 def test_sql_oracles(spark):
     import os
     import sys
