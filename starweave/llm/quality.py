@@ -1,18 +1,22 @@
 """Quality rules whose thresholds adapt to each language and source.
 
-Every document gets integer measures (below) from its whole text. Their distribution per (lang, source) is kept as a
-mergeable quantile sketch: counts of log-linear bins with 32 steps an octave (relative error 1/32, any two sketches
-of a measure add up bin by bin, and any order of merging gives the same one). A group with fewer than ``min_group``
-documents takes the merged sketch of its language, and a language with fewer that of all documents. Quartiles read
-off the sketches give fences, which are joined back and filter:
+Every document gets integer measures (below) from its whole text. Their distribution per (lang, source), over the
+documents that pass the base rule, is kept as a mergeable quantile sketch: counts of log-linear bins with 32 steps an
+octave (relative error 1/32, any two sketches of a measure add up bin by bin, and any order of merging gives the same
+one). A group with fewer than ``min_group`` such documents takes the merged sketch of its language, and a language with
+fewer that of all documents. Quantiles read off the sketches give fences, which are joined back and filter. No fence has
+a fixed part but the width of one bin, so a group in which a measure is rare has a low fence, and one in which it is
+usual a high one:
 
 * ``symbols`` per mille of words, ``dup_lines`` per mille of lines, ``repeats`` per mille of words: above
-  ``q50 + max(6 * (q50 - q25), floor)`` fails. Junk lifts the upper quartile but not the lower, so the spread is
-  taken below the median.
-* ``word_len``, hundredths of a code point a word: outside ``q50 -/+ max(6 * min(q50 - q25, q75 - q50), floor)``.
-
-Defined cases: a null or empty text has no words, fails the base rule and is not kept; documents of under
-``min_words`` words are not counted in sketches; null ``lang`` or ``source`` are groups of their own; equal rows
+  ``q + factor * (q - q50)`` and a bin fails. ``LAW`` gives the upper quantile q and the factor: a measure that junk
+  lifts in many documents takes a low quantile and a high factor, one that it lifts in few a high quantile.
+* ``word_len``, hundredths of a code point a word: outside ``q50 -/+ 5 * min(q50 - q10, q90 - q50)`` and a bin; the
+  lesser side is the one that junk has not stretched.
+
+Defined cases: a null or empty text has no words, fails the base rule and is not kept; documents that fail the base
+rule are not counted in sketches, a group without any other has the fences of its language or of all; with no other
+document at all nothing is kept; very long texts are measured whole; null ``lang`` or ``source`` are groups of their own; equal rows
 count each; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -28,8 +32,10 @@ from ..session import materialize
 from .common import checked_broadcast, slices, utf8_column
 from .words import shingle_hashes, word_hashes
 
-#: Least distance of a fence from the median, by measure.
-FLOORS = {"symbols": 100, "dup_lines": 400, "repeats": 300, "word_len": 100}
+#: Upper quantile (per cent) and factor, in halves, of each measure's fence; for ``word_len`` the quantile of both sides.
+LAW = {"symbols": (75, 8), "dup_lines": (99, 1), "repeats": (99, 2), "word_len": (90, 10)}
+#: Quantiles, per cent, that are read off the sketches.
+LEVELS = (10, 50, 75, 90, 99)
 MIN_GROUP = 50
 MIN_WORDS = 20
 WINDOW = 8
@@ -104,9 +110,13 @@ def with_rates(measured: DataFrame) -> DataFrame:
         "repeats": rate("n_repeat_words", "n_words", 1000), "word_len": rate("word_chars", "n_words", 100)})
 
 
+def base_failed(min_words: int = MIN_WORDS):
+    return F.expr(f"n_words < {min_words} or 100 * n_repeat_words > 30 * n_words")
+
+
 def sketch(rated: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(lang, source, measure, bin, n): counts by log-linear bin, aggregated map-side."""
-    stacked = rated.filter(F.col("n_words") >= min_words).select("lang", "source", F.expr(
+    stacked = rated.filter(~base_failed(min_words)).select("lang", "source", F.expr(
         "stack(4, 'symbols', symbols, 'dup_lines', dup_lines, 'repeats', repeats, 'word_len', word_len) "
         "as (measure, v)"))
     shift = "cast(greatest(length(bin(v)) - 6, 0) as int)"
@@ -114,54 +124,64 @@ def sketch(rated: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         "bin")).groupBy("lang", "source", "measure", "bin").agg(F.count(F.lit(1)).alias("n"))
 
 
-def quartiles(sketches: DataFrame, by: list[str]) -> DataFrame:
-    """(by, measure, docs, q25, q50, q75) of the sketches merged by ``by``."""
+def quantiles(sketches: DataFrame, by: list[str], levels: tuple[int, ...] = LEVELS) -> DataFrame:
+    """(by, measure, docs, q10, q50, ...) of the sketches merged by ``by``."""
     merged = sketches.groupBy(*by, "measure", "bin").agg(F.sum("n").alias("n"))
     w = Window.partitionBy(*by, "measure")
     run = merged.withColumn("upto", F.sum("n").over(w.orderBy("bin"))).withColumn("docs", F.sum("n").over(w))
     return run.groupBy(*by, "measure", "docs").agg(*(
-        F.min(F.expr(f"case when 4 * upto >= {i} * docs then bin end")).alias(f"q{25 * i}") for i in (1, 2, 3)))
-
-
-def fences(sketches: DataFrame, min_group: int = MIN_GROUP, floors: dict[str, int] | None = None) -> DataFrame:
-    """(lang, source, hi_symbols, hi_dup_lines, hi_repeats, lo_word_len, hi_word_len), one row a group."""
-    q = ["docs", "q25", "q50", "q75"]
-    own = quartiles(sketches, ["lang", "source"])
-    lang = quartiles(sketches, ["lang"]).select("lang", "measure", *(F.col(c).alias(f"l_{c}") for c in q))
-    every = quartiles(sketches, []).select("measure", *(F.col(c).alias(f"a_{c}") for c in q))
-    both = own.alias("o").join(
-        lang.alias("l"), F.expr("o.lang <=> l.lang and o.measure = l.measure")).join(
-        F.broadcast(every.alias("a")), F.expr("a.measure = o.measure"))  # four rows
+        F.min(F.expr(f"case when 100 * upto >= {i} * docs then bin end")).alias(f"q{i}") for i in levels))
+
+
+def fences(groups: DataFrame, sketches: DataFrame, min_group: int = MIN_GROUP, law: dict[str, tuple[int, int]] | None = None) -> DataFrame:
+    """(lang, source, hi_symbols, hi_dup_lines, hi_repeats, lo_word_len, hi_word_len), a row for each of ``groups``
+    (lang, source)."""
+    law = law or LAW
+    levels = tuple(sorted({*LEVELS, *(q for q, _ in law.values()), *(100 - q for q, _ in law.values())}))
+    q = ["docs", *(f"q{i}" for i in levels)]
+    own = quantiles(sketches, ["lang", "source"], levels)
+    lang = quantiles(sketches, ["lang"], levels).select("lang", "measure", *(F.col(c).alias(f"l_{c}") for c in q))
+    every = quantiles(sketches, [], levels).select("measure", *(F.col(c).alias(f"a_{c}") for c in q))
+    asked = groups.select("lang", "source").distinct().withColumn("measure", F.explode(F.array(*(F.lit(m) for m in law)))).alias("g")
+    both = asked.join(F.broadcast(every.alias("a")), F.expr("g.measure = a.measure"), "left").join(  # a row a measure
+        own.alias("o"), F.expr("g.lang <=> o.lang and g.source <=> o.source and g.measure = o.measure"), "left").join(
+        lang.alias("l"), F.expr("g.lang <=> l.lang and g.measure = l.measure"), "left")
 
     def pick(c):
         return F.expr(f"case when o.docs >= {min_group} then o.{c} when l_docs >= {min_group} then l_{c} "
                       f"else a_{c} end").alias(c)
 
-    chosen = both.select("o.lang", "o.source", "o.measure", *(pick(c) for c in q[1:]))
-    floor = F.expr("case measure " + " ".join(f"when '{m}' then {v}" for m, v in (floors or FLOORS).items()) + " end")
-    chosen = chosen.withColumn("reach", F.when(
-        F.col("measure") == "word_len", F.greatest(F.expr("6 * least(q50 - q25, q75 - q50)"), floor)).otherwise(
-        F.greatest(F.expr("6 * (q50 - q25)"), floor)))
+    chosen = both.select("g.lang", "g.source", "g.measure", *(pick(c) for c in q[1:]))
+
+    def bin_at(v):
+        return f"shiftleft(1L, cast(greatest(length(bin({v})) - 6, 0) as int))"
+
+    hi, reach = {}, {}
+    for m, (level, halves) in law.items():
+        if m == "word_len":
+            reach[m] = f"({halves} * least(q50 - q{100 - level}, q{level} - q50)) div 2 + {bin_at('q50')}"
+            hi[m] = f"q50 + {reach[m]}"
+        else:
+            hi[m] = f"q{level} + ({halves} * (q{level} - q50)) div 2 + {bin_at(f'q{level}')}"
 
-    def at(m, sign):
-        return F.max(F.expr(f"case when measure = '{m}' then q50 {sign} reach end"))
+    def at(m, value):
+        return F.max(F.expr(f"case when measure = '{m}' then {value} end"))
 
     return chosen.groupBy("lang", "source").agg(
-        *(at(m, "+").alias(f"hi_{m}") for m in FLOORS), at("word_len", "-").alias("lo_word_len"))
+        *(at(m, hi[m]).alias(f"hi_{m}") for m in law), at("word_len", f"q50 - ({reach['word_len']})").alias("lo_word_len"))
 
 
 def quality_verdicts(docs: DataFrame, *, min_words: int = MIN_WORDS, min_group: int = MIN_GROUP,
-                     floors: dict[str, int] | None = None) -> DataFrame:
+                     law: dict[str, tuple[int, int]] | None = None) -> DataFrame:
     """Every document of ``docs`` (doc_id, lang, source, text) with its counts, rates, fences, ``base_failed`` and
     ``kept``. See the module text."""
     rated = with_rates(materialize(measure(docs), "measures"))
-    limits = fences(sketch(rated, min_words), min_group, floors).withColumnRenamed("lang", "f_lang").withColumnRenamed(
+    limits = fences(rated, sketch(rated, min_words), min_group, law).withColumnRenamed("lang", "f_lang").withColumnRenamed(
         "source", "f_source")
     joined = rated.join(checked_broadcast(materialize(limits, "fences")), F.expr("lang <=> f_lang and source <=> f_source"), "left")
-    base = F.expr(f"n_words < {min_words} or 100 * n_repeat_words > 30 * n_words")
     fine = F.expr("symbols <= hi_symbols and dup_lines <= hi_dup_lines and repeats <= hi_repeats "
                   "and word_len between lo_word_len and hi_word_len")
-    return joined.withColumn("base_failed", base).withColumn(
+    return joined.withColumn("base_failed", base_failed(min_words)).withColumn(
         "kept", ~F.col("base_failed") & F.coalesce(fine, F.lit(False))).drop("f_lang", "f_source")
 
 
@@ -185,32 +205,33 @@ r as (select *, case when n_words = 0 then 0 else 1000 * n_symbols // n_words en
     case when n_words = 0 then 0 else 1000 * n_repeat_words // n_words end as repeats,
     case when n_words = 0 then 0 else 100 * word_chars // n_words end as word_len from m),
 s as (select lang, source, f as measure, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) as b,
-    count(*) as n from (select lang, source, 'symbols' as f, symbols as v from r where n_words >= 20
-      union all select lang, source, 'dup_lines', dup_lines from r where n_words >= 20
-      union all select lang, source, 'repeats', repeats from r where n_words >= 20
-      union all select lang, source, 'word_len', word_len from r where n_words >= 20) group by all),
+    count(*) as n from (select lang, source, 'symbols' as f, symbols as v from r where n_words >= 20 and 100 * n_repeat_words <= 30 * n_words
+      union all select lang, source, 'dup_lines', dup_lines from r where n_words >= 20 and 100 * n_repeat_words <= 30 * n_words
+      union all select lang, source, 'repeats', repeats from r where n_words >= 20 and 100 * n_repeat_words <= 30 * n_words
+      union all select lang, source, 'word_len', word_len from r where n_words >= 20 and 100 * n_repeat_words <= 30 * n_words) group by all),
 q as (select level, lang, source, measure, docs,
-    min(b) filter (4 * upto >= docs) as q25, min(b) filter (4 * upto >= 2 * docs) as q50,
-    min(b) filter (4 * upto >= 3 * docs) as q75
+    min(b) filter (100 * upto >= 10 * docs) as q10, min(b) filter (100 * upto >= 50 * docs) as q50,
+    min(b) filter (100 * upto >= 75 * docs) as q75, min(b) filter (100 * upto >= 90 * docs) as q90,
+    min(b) filter (100 * upto >= 99 * docs) as q99
   from (select *, sum(n) over (partition by level, lang, source, measure order by b) as upto,
       sum(n) over (partition by level, lang, source, measure) as docs
     from (select 1 as level, lang, source, measure, b, sum(n) as n from s group by all
       union all select 2, lang, null, measure, b, sum(n) from s group by all
       union all select 3, null, null, measure, b, sum(n) from s group by all))
   group by level, lang, source, measure, docs),
-c as (select o.lang, o.source, o.measure,
-    case when o.docs >= 50 then o.q25 when l.docs >= 50 then l.q25 else a.q25 end as q25,
-    case when o.docs >= 50 then o.q50 when l.docs >= 50 then l.q50 else a.q50 end as q50,
-    case when o.docs >= 50 then o.q75 when l.docs >= 50 then l.q75 else a.q75 end as q75
-  from q o join q l on o.level = 1 and l.level = 2 and o.lang is not distinct from l.lang and o.measure = l.measure
-  join q a on a.level = 3 and a.measure = o.measure),
-f as (select lang, source, measure, q50, case measure
-    when 'word_len' then greatest(6 * least(q50 - q25, q75 - q50), 100) when 'symbols' then greatest(6 * (q50 - q25), 100)
-    when 'dup_lines' then greatest(6 * (q50 - q25), 400) else greatest(6 * (q50 - q25), 300) end as reach from c),
-t as (select lang, source, max(q50 + reach) filter (measure = 'symbols') as hs,
-    max(q50 + reach) filter (measure = 'dup_lines') as hd, max(q50 + reach) filter (measure = 'repeats') as hr,
-    max(q50 + reach) filter (measure = 'word_len') as hw, max(q50 - reach) filter (measure = 'word_len') as lw
-  from f group by lang, source)
+c as (select g.lang, g.source, a.measure, case when o.docs >= 50 then o when l.docs >= 50 then l else a end as z
+  from (select distinct lang, source from r) g join q a on a.level = 3
+  left join q o on o.level = 1 and o.lang is not distinct from g.lang and o.source is not distinct from g.source and o.measure = a.measure
+  left join q l on l.level = 2 and l.lang is not distinct from g.lang and l.measure = a.measure),
+e as (select lang, source, measure, z.q10 as q10, z.q50 as q50, z.q75 as q75, z.q90 as q90, z.q99 as q99,
+    1 << greatest(length(bin(z.q50)) - 6, 0) as s50, 1 << greatest(length(bin(z.q75)) - 6, 0) as s75,
+    1 << greatest(length(bin(z.q99)) - 6, 0) as s99 from c),
+t as (select lang, source, max(q75 + 8 * (q75 - q50) // 2 + s75) filter (measure = 'symbols') as hs,
+    max(q99 + (q99 - q50) // 2 + s99) filter (measure = 'dup_lines') as hd,
+    max(q99 + 2 * (q99 - q50) // 2 + s99) filter (measure = 'repeats') as hr,
+    max(q50 + 10 * least(q50 - q10, q90 - q50) // 2 + s50) filter (measure = 'word_len') as hw,
+    max(q50 - (10 * least(q50 - q10, q90 - q50) // 2 + s50)) filter (measure = 'word_len') as lw
+  from e group by lang, source)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
     not (n_words < 20 or 100 * n_repeat_words > 30 * n_words) and coalesce(symbols <= hs and dup_lines <= hd

@@ -260,12 +260,12 @@ def test_quality_measures_and_defined_cases(spark, awkward):
 
 
 def test_quality_sketches_merge(spark):
-    from starweave.llm.quality import measure, quartiles, sketch, with_rates
+    from starweave.llm.quality import measure, quantiles, sketch, with_rates
 
     rated = with_rates(measure(read(spark, "documents")))
     halves = [sketch(rated.filter(F.col("doc_id") % 2 == i)) for i in range(2)]
     key = ["lang", "source"]
-    merged, whole = quartiles(halves[0].union(halves[1]), key), quartiles(sketch(rated), key)
+    merged, whole = quantiles(halves[0].union(halves[1]), key), quantiles(sketch(rated), key)
     assert sorted(map(str, merged.collect())) == sorted(map(str, whole.collect()))
 
 
@@ -369,3 +369,33 @@ def test_feistel_equals_a_plain_one(spark):
     numbers = ["".join(random.choice("0123456789") for _ in range(random.randint(2, 18))) for _ in range(300)]
     df = spark.createDataFrame([(x,) for x in numbers], "d string").select("d", _number("k", "card", F.col("d"), False).alias("p"))
     assert {r.d: r.p for r in df.collect()} == {x: plain("k", "card", x) for x in numbers}
+
+
+def test_quality_fences_follow_their_group(spark):
+    from starweave.llm.quality import LAW, fences, measure, quality_verdicts, sketch, with_rates
+
+    d = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    rated = with_rates(measure(docs))
+    limits = fences(rated, sketch(rated)).collect()
+    assert len(limits) == docs.select("lang", "source").distinct().count()
+    for c in ("hi_dup_lines", "hi_repeats", "hi_word_len", "lo_word_len"):
+        assert len({r[c] for r in limits}) > 5, c
+    rows = quality_verdicts(docs).join(labels.select("doc_id", "quality"), "doc_id", "left").collect()
+    passed = [r for r in rows if not r.base_failed]
+    for m in LAW:  # each rule fails some document that the base rule lets pass
+        assert any(r[m] > r[f"hi_{m}"] or (m == "word_len" and r[m] < r.lo_word_len) for r in passed), m
+    clean, junk = ([r.kept for r in passed if r.quality == q] for q in (1, 0))
+    assert sum(clean) >= 0.99 * len(clean) and sum(junk) <= 0.05 * len(junk)
+
+
+def test_quality_fences_of_one_group_with_symbols(spark):
+    from starweave.llm.quality import quality_verdicts
+
+    words = " ".join(f"word{i}" for i in range(60))
+    rows = [(i, f"{words} {'& ' * (i % 4)}x{i}", "en", "code") for i in range(200)] + [(1000 + i, f"{words} y{i}", "en", "prose") for i in range(200)]
+    rows += [(2000, f"{words} & & &", "en", "prose"), (2001, f"{words} & & &", "en", "code"), (2002, words + " #" * 60, "en", "code"),
+             (2003, words, None, None)]
+    kept = {r.doc_id: r.kept for r in quality_verdicts(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert all(kept[i] for i in range(200)) and all(kept[1000 + i] for i in range(200))
+    assert (kept[2000], kept[2001], kept[2002], kept[2003]) == (False, True, False, True)  # what is usual differs
