@@ -134,7 +134,7 @@ def q_load_overwrite(spark, sf):
     t = _table_name("d_event")
     TB.create_table(spark, t, SC.SCHEMAS["d_event"])
     ev = M.build_model(spark, sf, "d_event").d_event
-    cols = "event_id, competition_nm, program_nm, element_nm, entries_ct"
+    cols = SC.columns_of("d_event")
     TB.load_overwrite(ev.filter(F.col("entries_ct") > 0), t, cols)  # a first load ...
     TB.load_overwrite(ev, t, cols)  # ... replaced whole by the second
     return spark.table(t)
@@ -146,7 +146,7 @@ def q_load_empty(spark, sf):
     TB.create_table(spark, t, SC.SCHEMAS["d_person"])
     TB.truncate(spark, t)
     person = M.build_model(spark, sf, "d_person").d_person
-    TB.load_if_empty(person, t, "person_id, forename, surname, gender, nationality")
+    TB.load_if_empty(person, t, SC.columns_of("d_person"))
     return spark.table(t)
 
 

@@ -16,7 +16,7 @@ and the judge in one join to the (event, role) → judge map, which is
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +26,7 @@ from ..operators.joins import broadcast_if_small
 from ..operators.keys import dense_key
 from ..operators.reshape import union_branches
 from ..session import materialize
+from ..sources.schemas import columns_of
 from . import staging as stg
 
 
@@ -45,9 +46,6 @@ def event_view(perfs: DataFrame) -> DataFrame:
     return dense_key(shaped, ["competition_nm", "program_nm", "element_nm", "raw_event_nm"], "event_id")
 
 
-D_EVENT_COLS = ["event_id", "competition_nm", "program_nm", "element_nm", "entries_ct"]
-
-
 # ---------------------------------------------------------------- D1 d_person
 def raw_people(perfs: DataFrame, judges: DataFrame) -> DataFrame:
     """Distinct (nationality, gender, name) over judges and skaters.
@@ -77,9 +75,6 @@ def person_view(perfs: DataFrame, judges: DataFrame) -> DataFrame:
     return dense_key(people, ["surname", "forename", "nationality", "gender", "raw_nm"], "person_id", by_position=True)
 
 
-D_PERSON_COLS = ["person_id", "forename", "surname", "gender", "nationality"]
-
-
 # ---------------------------------------------------------------- D3 d_aspect
 def aspect_view(aspects: DataFrame) -> DataFrame:
     """d_aspect: one row per distinct (type letter, description), numbered in
@@ -88,9 +83,6 @@ def aspect_view(aspects: DataFrame) -> DataFrame:
     return dense_key(d, ["aspect_type_cd", "aspect_desc"], "aspect_id")
 
 
-D_ASPECT_COLS = ["aspect_id", "aspect_type_cd", "aspect_desc"]
-
-
 # ------------------------------------------------------------------ D4 f_perf
 def perf_view(perfs: DataFrame, events: DataFrame, people: DataFrame) -> DataFrame:
     """f_perf with raw_performance_id and event_id for the next facts.
@@ -119,10 +111,6 @@ def perf_view(perfs: DataFrame, events: DataFrame, people: DataFrame) -> DataFra
     return dense_key(shaped, ["event_id", "event_perf_seq_nbr", "raw_performance_id"], "perf_id")
 
 
-F_PERF_COLS = ["perf_id", "event_id", "event_perf_seq_nbr", "skater1_id", "skater2_id", "event_perf_rank_nbr",
-               "component_score", "element_score", "deductions"]
-
-
 # ----------------------------------------------------------- D5 f_perf_aspect
 def perf_aspect_view(aspects: DataFrame, perf: DataFrame, d_aspect: DataFrame) -> DataFrame:
     """f_perf_aspect with raw_judged_aspect_id and the event_id of its
@@ -146,10 +134,6 @@ def perf_aspect_view(aspects: DataFrame, perf: DataFrame, d_aspect: DataFrame) -
     )
 
 
-F_PERF_ASPECT_COLS = ["perf_aspect_id", "perf_id", "perf_aspect_seq_nbr", "aspect_id", "base_difficulty",
-                      "total_score"]
-
-
 # ----------------------------------------------------- D6 f_perf_aspect_score
 def judge_roles(judges: DataFrame, events: DataFrame, people: DataFrame) -> DataFrame:
     """(event_id, clean_role) → judge person_id, one row per event and judge."""
@@ -170,9 +154,6 @@ def perf_aspect_score_view(scores: DataFrame, perf_aspect: DataFrame, roles: Dat
     return dense_key(shaped, ["perf_aspect_id", "judge_id", "score"], "perf_aspect_score_id")
 
 
-F_PERF_ASPECT_SCORE_COLS = ["perf_aspect_score_id", "perf_aspect_id", "judge_id", "score"]
-
-
 # ------------------------------------------------------------------ assembly
 @dataclass
 class StarModel:
@@ -185,20 +166,10 @@ class StarModel:
 
     def tables_partial(self, name: str) -> DataFrame:
         """One table with its load columns (the raw keys left out)."""
-        cols = {"d_event": D_EVENT_COLS, "d_person": D_PERSON_COLS, "d_aspect": D_ASPECT_COLS,
-                "f_perf": F_PERF_COLS, "f_perf_aspect": F_PERF_ASPECT_COLS,
-                "f_perf_aspect_score": F_PERF_ASPECT_SCORE_COLS}[name]
-        return getattr(self, name).select(*cols)
+        return getattr(self, name).select(*columns_of(name))
 
     def tables(self) -> dict[str, DataFrame]:
-        return {
-            "d_event": self.d_event.select(*D_EVENT_COLS),
-            "d_person": self.d_person.select(*D_PERSON_COLS),
-            "d_aspect": self.d_aspect.select(*D_ASPECT_COLS),
-            "f_perf": self.f_perf.select(*F_PERF_COLS),
-            "f_perf_aspect": self.f_perf_aspect.select(*F_PERF_ASPECT_COLS),
-            "f_perf_aspect_score": self.f_perf_aspect_score.select(*F_PERF_ASPECT_SCORE_COLS),
-        }
+        return {f.name: self.tables_partial(f.name) for f in fields(self)}
 
 
 def build_model(spark: SparkSession, sf_dir: str, upto: str = "f_perf_aspect_score",

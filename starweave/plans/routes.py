@@ -150,14 +150,14 @@ def run_warehouse_route(spark: SparkSession, csv_dir: str, db: str) -> dict[str,
     fp = M.perf_view(st["s_performances"], ev, pe)
     fpa = M.perf_aspect_view(st["s_judged_aspects"], fp, da)
     fpas = M.perf_aspect_score_view(st["s_judge_scores"], fpa, M.judge_roles(st["s_judges"], ev, pe))
-    TB.load_overwrite(ev, f"{db}.d_event", M.D_EVENT_COLS)
+    TB.load_overwrite(ev, f"{db}.d_event", SC.columns_of("d_event"))
     TB.truncate(spark, f"{db}.d_person")
-    TB.load_if_empty(pe, f"{db}.d_person", M.D_PERSON_COLS)
-    TB.load_procedure(spark, f"{db}.d_aspect", da.select(*M.D_ASPECT_COLS))
-    TB.load_overwrite(fp, f"{db}.f_perf", M.F_PERF_COLS)
-    TB.load_overwrite(fpa, f"{db}.f_perf_aspect", M.F_PERF_ASPECT_COLS)
+    TB.load_if_empty(pe, f"{db}.d_person", SC.columns_of("d_person"))
+    TB.load_procedure(spark, f"{db}.d_aspect", da.select(*SC.columns_of("d_aspect")))
+    TB.load_overwrite(fp, f"{db}.f_perf", SC.columns_of("f_perf"))
+    TB.load_overwrite(fpa, f"{db}.f_perf_aspect", SC.columns_of("f_perf_aspect"))
     TB.truncate(spark, f"{db}.f_perf_aspect_score")
-    TB.load_if_empty(fpas, f"{db}.f_perf_aspect_score", M.F_PERF_ASPECT_SCORE_COLS)
+    TB.load_if_empty(fpas, f"{db}.f_perf_aspect_score", SC.columns_of("f_perf_aspect_score"))
     return {t: f"{db}.{t}" for t in ("d_event", "d_person", "d_aspect", "f_perf", "f_perf_aspect",
                                      "f_perf_aspect_score")}
 

@@ -77,6 +77,10 @@ SPECS: dict[str, list[tuple[str, str, bool]]] = {
 SCHEMAS: dict[str, StructType] = {t: schema_of(s) for t, s in SPECS.items()}
 
 
+def columns_of(table: str) -> list[str]:
+    return [n for n, _, _ in SPECS[table]]
+
+
 def required_columns(table: str) -> list[str]:
     return [n for n, _, req in SPECS[table] if req]
 
