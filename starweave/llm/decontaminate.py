@@ -1,10 +1,13 @@
 """Benchmark decontamination by BM25 retrieval with block-max WAND, verified on question and answer.
 
-Index. Test items are lower-cased, taken as words between ASCII punctuation and white space, and cut into segments of
+Index. Test items are lower-cased, taken as words between ASCII punctuation and white space, with every character of a
+script that is written without blanks (Chinese, Japanese, Thai, Lao, Burmese, Khmer) as a word of its own, and cut into segments of
 at most ``SEGMENT`` words, each scored by BM25 over the whole benchmark. A posting holds a segment and its
 contribution divided by the segment's own score, so one threshold fits all; a term's postings, in segment order, have
 a maximum per block of ``BLOCK``. The postings are made by Spark; a part of at most ``part_postings`` of them is
-loaded at a time and sent to the tasks, a larger benchmark goes over the corpus part by part, with the same scores.
+loaded at a time, with the texts of their items, each once and ``part_bytes`` of them together, and sent to the tasks;
+a larger benchmark goes over the corpus part by part, with the same scores. One item is never divided, so a part has at
+least one whole item, however long.
 
 Query. Every document is cut into chunks of ``CHUNK`` words, and every two neighbouring chunks are a passage, so no
 word is left out and every run of CHUNK words lies in a passage. Of each segment the terms of the most segments, as
@@ -17,7 +20,8 @@ nothing is cut off).
 Verify. For a retrieved item the document's words around the passage (an item's length to either side) must hold at
 least ``overlap`` of the item's question ``GRAM``-grams and of its answer ones. The answer is the last sentence, or
 the last third of the words if there is one sentence only; sentences before it join it until it has GRAM words. A part
-that stays shorter counts as one gram.
+that stays shorter counts as one gram. The passages of an item are verified from the best score down, until none left
+could be reported.
 
 Defined cases: null and empty texts, and items without words, match nothing; repeated documents match row by row;
 repeated items each match; a null doc_id or item_id is reported as null; an empty table gives no rows; other columns
@@ -45,14 +49,21 @@ COMMON = 0.5
 THRESHOLD = 0.5
 OVERLAP = 0.5
 PART_POSTINGS = 2_000_000
+PART_BYTES = 32 << 20
 
 #: ASCII characters other than letters, digits and _ part words.
 _PARTED = bytes(c if c > 127 or chr(c).isalnum() or c == ord("_") else 32 for c in range(256))
-_SENTENCE = re.compile(r"[.!?\n]+")
+_SENTENCE = re.compile("[.!?\n\u3002\uff01\uff1f]+")
+#: Characters of scripts without blanks, and the punctuation and blanks that go with them.
+_ALONE = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+_BESIDE = re.compile("[\u3000-\u303f\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65]")
 
 
 def words_of(text: str | None) -> list[str]:
-    return (text or "").lower().encode("utf-8", "replace").translate(_PARTED).decode().split()
+    said = (text or "").lower().encode("utf-8", "replace").translate(_PARTED).decode()
+    if not said.isascii():
+        said = _ALONE.sub(r" \g<0> ", _BESIDE.sub(" ", said))
+    return said.split()
 
 
 def question_and_answer(text: str | None) -> tuple[list[str], list[str]]:
@@ -73,10 +84,16 @@ def grams(words: list[str], size: int = GRAM) -> set[tuple[str, ...]]:
     return set(zip(*(words[i:] for i in range(size))))
 
 
-def _held(part: list[str], there: list[str]) -> float:
-    """The share of the grams of ``part`` that ``there`` holds, 1 if it has none."""
-    own = grams(part, min(GRAM, len(part))) if part else set()
-    return len(own & grams(there, min(GRAM, len(part)))) / len(own) if own else 1.0
+def own_grams(part: list[str]) -> tuple[int, set[tuple[str, ...]]]:
+    """The grams of a part of an item, and their size."""
+    size = min(GRAM, len(part))
+    return size, grams(part, size) if part else set()
+
+
+def _held(own: tuple[int, set[tuple[str, ...]]], there: list[str]) -> float:
+    """The share of these grams that ``there`` holds, 1 if there are none."""
+    size, part = own
+    return len(part & grams(there, size)) / len(part) if part else 1.0
 
 
 def _segments(rows):
@@ -86,18 +103,17 @@ def _segments(rows):
             words = words_of(text)
             pieces = -(-len(words) // SEGMENT)
             for i in range(pieces):
-                out.append((item, text, words[len(words) * i // pieces : len(words) * (i + 1) // pieces]))
+                out.append((item, words[len(words) * i // pieces : len(words) * (i + 1) // pieces]))
         yield pa.RecordBatch.from_arrays(
-            [pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int64(), pa.string(), pa.list_(pa.string())))],
-            ["item", "text", "words"])
+            [pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int64(), pa.list_(pa.string())))], ["item", "words"])
 
 
 def postings(items: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Segments (segment, item_id, text) and postings (segment, term, weight), weights being shares of a segment's
+    """Segments (segment, item_id) and postings (segment, term, weight), weights being shares of a segment's
     own BM25 score."""
     seg = materialize(
         items.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
-        .mapInArrow(_segments, "item long, text string, words array<string>")
+        .mapInArrow(_segments, "item long, words array<string>")
         .withColumn("segment", F.monotonically_increasing_id()).withColumn("len", F.size("words")), "segments")
     n, mean = seg.agg(F.count(F.lit(1)), F.avg("len")).first()
     tf = seg.select("segment", "len", F.explode("words").alias("term")).groupBy("segment", "len", "term").agg(
@@ -109,16 +125,15 @@ def postings(items: DataFrame) -> tuple[DataFrame, DataFrame]:
         "segment", "term", (idf * F.col("tf") * (K1 + 1) / (F.col("tf") + norm)).alias("w"))
     own = scored.groupBy("segment").agg(F.sum("w").alias("own"))
     post = scored.join(own, "segment").select("segment", "term", (F.col("w") / F.col("own")).alias("weight"))
-    return seg.select("segment", F.col("item").alias("item_id"), "text"), post
+    return seg.select("segment", F.col("item").alias("item_id")), post
 
 
 class Index:
     """Postings by term with block maxima, essential terms, and the question and answer of the items."""
 
-    def __init__(self, rows: list[Row], texts: dict[int, tuple[int, str]], threshold: float):
+    def __init__(self, rows: list[Row], item_of: dict[int, int], text_of: dict[int, str], threshold: float):
         self.threshold = threshold
-        self.item_of = {s: i for s, (i, _) in texts.items()}
-        self.text_of = {i: t for i, t in texts.values()}
+        self.item_of, self.text_of = item_of, text_of  # items of the segments, texts of the items
         by_term: dict[str, list[tuple[int, float]]] = {}
         by_segment: dict[int, list[tuple[str, float]]] = {}
         for segment, term, weight in rows:
@@ -147,7 +162,8 @@ class Index:
             for term, weight in found[i:]:
                 self.essential.setdefault(term, []).append((segment, weight))
         self.essential_terms = set(self.essential)
-        self.parts: dict[int, tuple[list[str], list[str]]] = {}
+        #: Words, and grams of question and answer, of the items met so far.
+        self.parts: dict[int, tuple] = {}
 
     def reach(self, terms: set[str]) -> float:
         """The most that these essential terms give a segment."""
@@ -217,25 +233,31 @@ class Index:
         rare = [self.essential_terms.intersection(words[i : i + CHUNK]) for i in range(0, len(words), CHUNK)]
         peaks = [self.reach(r) for r in rare]
         least = self.threshold - max(self.common.values(), default=0.0) - 1e-9
-        best: dict[int, tuple[float, float, float]] = {}
+        hits: dict[int, dict[int, float]] = {}  # by item: score of each passage
         for i in range(max(1, len(rare) - 1) if rare else 0):
             if sum(peaks[i : i + 2]) < least or self.reach(set().union(*rare[i : i + 2])) < least:
                 continue
             terms = self.top.keys() & set(words[i * CHUNK : (i + 2) * CHUNK])
-            hits: dict[int, float] = {}
             for segment, score in self.retrieve(sorted(terms)):
-                item = self.item_of[segment]
-                hits[item] = max(hits.get(item, 0.0), score)
-            for item, score in hits.items():
-                if item not in self.parts:
-                    self.parts[item] = question_and_answer(self.text_of[item])
-                question, answer = self.parts[item]
-                n = len(question) + len(answer)
+                of = hits.setdefault(self.item_of[segment], {})
+                of[i] = max(of.get(i, 0.0), score)
+        found = []
+        for item, of in sorted(hits.items()):
+            if item not in self.parts:
+                question, answer = question_and_answer(self.text_of[item])
+                self.parts[item] = len(question) + len(answer), own_grams(question), own_grams(answer)
+            n, question, answer = self.parts[item]
+            best = (0.0, 0.0, 0.0)
+            for i, score in sorted(of.items(), key=lambda h: -h[1]):
+                if (score, 1.0, 1.0) <= best:  # nor can any after it be better
+                    break
                 there = words[max(0, i * CHUNK - n) : (i + 2) * CHUNK + n]
                 q, a = _held(question, there), _held(answer, there)
-                if q >= overlap and a >= overlap and (score, q, a) > best.get(item, (0.0, 0.0, 0.0)):
-                    best[item] = score, q, a
-        return [(item, *best[item]) for item in sorted(best)]
+                if q >= overlap and a >= overlap:
+                    best = max(best, (score, q, a))
+            if best[0]:
+                found.append((item, *best))
+        return found
 
 
 def _match_task(shared, threshold: float, overlap: float):
@@ -253,7 +275,7 @@ def _match_task(shared, threshold: float, overlap: float):
 
 
 def contaminated(docs: DataFrame, items: DataFrame, *, threshold: float = THRESHOLD, overlap: float = OVERLAP,
-                 part_postings: int = PART_POSTINGS) -> DataFrame:
+                 part_postings: int = PART_POSTINGS, part_bytes: int = PART_BYTES) -> DataFrame:
     """(doc_id, item_id, score, question_overlap, answer_overlap) for every document of ``docs`` (doc_id, text) that
     holds an item of ``items`` (item_id, text). See the module text."""
     spark = docs.sparkSession
@@ -262,16 +284,18 @@ def contaminated(docs: DataFrame, items: DataFrame, *, threshold: float = THRESH
     segments, post = postings(numbered.select(F.col("item_no").alias("item_id"), "text"))
     post = materialize(post, "postings")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    n = post.count()
-    parts = max(1, -(-n // part_postings))
+    n, size = post.count(), numbered.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(1, -(-n // part_postings), -(-size // part_bytes))
     schema = "doc_id long, item_no long, score double, question_overlap double, answer_overlap double"
     found = None
-    for part in range(parts):  # one for a benchmark of up to part_postings
-        mine = F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part
-        texts = {r.segment: (r.item_id, r.text) for r in segments.filter(mine).toLocalIterator()}
-        rows = [tuple(r) for r in post.join(segments.filter(mine).select("segment"), "segment").select(
+    for part in range(parts):  # one for a benchmark of up to part_postings and part_bytes
+        mine = segments.filter(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part)
+        item_of = {r.segment: r.item_id for r in mine.toLocalIterator()}
+        text_of = {r.item_no: r.text for r in numbered.filter(F.pmod(F.xxhash64("item_no"), F.lit(parts)) == part)
+                   .select("item_no", "text").toLocalIterator()}
+        rows = [tuple(r) for r in post.join(mine.select("segment"), "segment").select(
             "segment", "term", "weight").toLocalIterator()]
-        shared = spark.sparkContext.broadcast((rows, texts))
+        shared = spark.sparkContext.broadcast((rows, item_of, text_of))
         got = docs.mapInArrow(_match_task(shared, threshold, overlap), schema)
         got = materialize(got, "hits")
         found = got if found is None else found.union(got)

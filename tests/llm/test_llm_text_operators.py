@@ -230,7 +230,7 @@ def test_wand_retrieves_what_full_scoring_does():
         weights = [random.random() for _ in terms]
         rows += [(s, t, w / sum(weights)) for t, w in zip(terms, weights)]
     for threshold in (0.1, 0.3, 0.6):
-        index = Index(rows, {s: (s, "t") for s in range(300)}, threshold)
+        index = Index(rows, {s: s for s in range(300)}, {s: "t" for s in range(300)}, threshold)
         for _ in range(60):
             query = set(random.sample(words, random.randint(1, 20)))
             full = {}
@@ -399,3 +399,40 @@ def test_quality_fences_of_one_group_with_symbols(spark):
     kept = {r.doc_id: r.kept for r in quality_verdicts(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
     assert all(kept[i] for i in range(200)) and all(kept[1000 + i] for i in range(200))
     assert (kept[2000], kept[2001], kept[2002], kept[2003]) == (False, True, False, True)  # what is usual differs
+
+
+def test_decontamination_of_very_long_items(spark):
+    from time import time
+
+    from starweave.llm.decontaminate import contaminated
+
+    random.seed(8)
+    words = [f"w{random.randrange(30_000)}" for _ in range(170_000)]
+    long = " ".join(words)  # about 1 MB
+    assert len(long) > 1_000_000
+    items = spark.createDataFrame([(1, long), (2, "what is the name of the river here? the little silver winding river")], "item_id long, text string")
+    docs = spark.createDataFrame(
+        [(1, "before " + long + " after"), (2, " ".join(words[:400])), (3, "clean text of its own " * 50),
+         (4, "x y what is the name of the river here? the little silver winding river z")], "doc_id long, text string")
+    begun = time()
+    got = {(r.doc_id, r.item_id) for r in contaminated(docs, items).collect()}
+    assert got == {(1, 1), (4, 2)} and time() - begun < 90
+    parted = {(r.doc_id, r.item_id) for r in contaminated(docs, items, part_bytes=100_000).collect()}
+    assert parted == got
+
+
+def test_decontamination_in_scripts_without_blanks(spark):
+    from starweave.llm.decontaminate import contaminated, words_of
+
+    random.seed(2)
+
+    def run(first, n):
+        return "".join(chr(first + random.randrange(300)) for _ in range(n))
+
+    chinese = [run(0x4E00 + 1000 * k, 30) + "\uff1f" + run(0x4E00 + 1000 * k, 12) + "\u3002" for k in range(5)]
+    thai = "".join(chr(0x0E01 + random.randrange(46)) for _ in range(60))
+    items = spark.createDataFrame([(k, t) for k, t in enumerate([*chinese, thai])], "item_id long, text string")
+    docs = [(k, run(0x6E00, 80) + t + run(0x6E00, 90)) for k, t in enumerate([*chinese, thai])] + [(100 + k, run(0x6E00, 300)) for k in range(5)]
+    got = {(r.doc_id, r.item_id) for r in contaminated(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()}
+    assert got == {(k, k) for k in range(6)}
+    assert words_of("caf\u00e9-bar \u6771\u4eac\u3002A1") == ["caf\u00e9", "bar", "\u6771", "\u4eac", "a1"]
