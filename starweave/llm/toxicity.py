@@ -4,7 +4,8 @@ A text's features are the distinct hashes of its 3- to 7-grams of lower-cased ch
 kind, a blank before and after). A hash found twice or more in a text counts as one more feature, so that one word of a shared passage and a text
 full of such words differ. Training, on labelled rows outside the held-out fold:
 
-1. per hash, the toxic and other documents that have it (counted on the executors, summed by cell);
+1. per hash, the toxic and other documents that have it (counted on the executors, which send the hashes they found,
+   summed by cell);
 2. the log ratio r of the two smoothed shares; the ``features`` hashes whose shares differ most by standard error;
 3. logistic regression with an L2 penalty on values r of the hashes present, classes weighted to count alike.
 
@@ -26,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .common import SLICE_BYTES
 
 BITS = 20
@@ -106,19 +108,26 @@ def _count_task(rows):
             counts[y][h] += 1
             n[y] += 1
     if sum(n):
-        cells = [(-1, np.array(n[:1], np.int32).tobytes(), np.array(n[1:], np.int32).tobytes())]
-        cells += [(c // CELL, counts[0, c : c + CELL].tobytes(), counts[1, c : c + CELL].tobytes())
-                  for c in range(0, 1 << BITS, CELL) if counts[:, c : c + CELL].any()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in cells], pa.int32()), pa.array([r[1] for r in cells], pa.binary()),
-             pa.array([r[2] for r in cells], pa.binary())], ["cell", "other", "toxic"])
+        cells = [(-1, np.zeros(1, np.int16).tobytes(), *(np.array([x], np.int32).tobytes() for x in n))]
+        for c in range(0, 1 << BITS, CELL):
+            part = counts[:, c : c + CELL]
+            there = np.flatnonzero(part.any(axis=0))
+            if len(there):
+                cells.append((c // CELL, there.astype(np.int16).tobytes(), part[0, there].tobytes(), part[1, there].tobytes()))
+        kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in cells], t) for i, t in enumerate(kinds)],
+                                         ["cell", "places", "other", "toxic"])
 
 
 def _sum_cells(key, g):
     import pandas as pd
 
-    return pd.DataFrame({"cell": [key[0]], **{
-        c: [np.sum([np.frombuffer(x, np.int32) for x in g[c]], axis=0, dtype=np.int32).tobytes()] for c in ("other", "toxic")}})
+    at = np.concatenate([np.frombuffer(x, np.int16) for x in g["places"]])
+    out = {"cell": [key[0]]}
+    for c in ("other", "toxic"):
+        n = np.concatenate([np.frombuffer(x, np.int32) for x in g[c]])
+        out[c] = [np.bincount(at, n, CELL).astype(np.int32).tobytes()]
+    return pd.DataFrame(out)
 
 
 def _kept_task(shared):
@@ -168,8 +177,8 @@ def _regression(features: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, pe
 def fit(docs: DataFrame, labels: DataFrame, *, max_train: int = MAX_TRAIN, features: int = FEATURES) -> Model:
     """Train on the labelled rows of ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic)."""
     spark = docs.sparkSession
-    sample = training_rows(docs, labels, max_train)
-    sums = sample.mapInArrow(_count_task, "cell int, other binary, toxic binary").groupBy("cell").applyInPandas(
+    sample = materialize(training_rows(docs, labels, max_train), "sample")  # read twice below
+    sums = sample.mapInArrow(_count_task, "cell int, places binary, other binary, toxic binary").groupBy("cell").applyInPandas(
         _sum_cells, "cell int, other binary, toxic binary").collect()  # 2**BITS counts of each class
     counts, n = np.zeros((2, 1 << BITS), np.float32), np.zeros(2)
     for r in sums:

@@ -273,6 +273,49 @@ def test_shards_are_contiguous_and_balanced(spark, shards):
     assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
 
 
+@pytest.mark.parametrize("shards,tolerance", [(24, 0.02), (7, 0.5), (3, 0.0)])
+def test_shards_equal_brute_force(spark, shards, tolerance):
+    from xxhash import xxh64_intdigest
+
+    from starweave.llm.sharding import shard_by_bytes
+
+    docs = read(spark, "documents").select("doc_id", "text")
+    docs = docs.union(docs.filter("doc_id < 40")).union(docs.filter("doc_id < 5").selectExpr("doc_id + 900000", "text"))
+    docs = docs.union(docs.filter("doc_id = 3").selectExpr("explode(sequence(800000, 800060))", "text"))  # a hot text
+
+    def key(row):
+        raw = (row.text or "").encode()
+        h = xxh64_intdigest(row.doc_id.to_bytes(8, "little", signed=True), 42)
+        return zlib.crc32(raw), len(raw) + 8, h - (1 << 64) * (h >> 63), row.doc_id
+
+    rows = sorted(map(key, docs.collect()))
+    begins, at = [], 0
+    for r in rows:
+        begins.append(at)
+        at += r[1]
+    cuts = []
+    for k in range(1, shards):
+        cut = at * k // shards
+        for r, b in zip(rows, begins):
+            if b < cut < b + r[1]:
+                same = [c for q, c in zip(rows, begins) if q[:2] == r[:2]]
+                lo, hi = min(same), max(same) + r[1]
+                end = lo if cut - lo <= hi - cut else hi
+                if abs(end - cut) > tolerance * at / shards:
+                    end = b if cut - b <= b + r[1] - cut else b + r[1]
+                cut = end
+                break
+        cuts.append(cut)
+    want, next_slot = [], {}
+    for (crc, size, _, doc_id), b in zip(rows, begins):
+        s = sum(b >= c for c in cuts)
+        want.append((doc_id, size, crc, s, next_slot.get(s, 0)))
+        next_slot[s] = next_slot.get(s, 0) + 1
+    got = [(r.doc_id, r["size"], r.text_crc32, r.shard, r.slot)
+           for r in shard_by_bytes(docs.repartition(5), shards=shards, tolerance=tolerance).collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_shards_defined_cases(spark):
     from starweave.llm.sharding import shard_by_bytes
 

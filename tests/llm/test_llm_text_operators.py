@@ -436,3 +436,67 @@ def test_decontamination_in_scripts_without_blanks(spark):
     got = {(r.doc_id, r.item_id) for r in contaminated(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()}
     assert got == {(k, k) for k in range(6)}
     assert words_of("caf\u00e9-bar \u6771\u4eac\u3002A1") == ["caf\u00e9", "bar", "\u6771", "\u4eac", "a1"]
+
+
+def test_toxicity_equals_a_plain_model(spark):
+    """The whole model again in plain Python and dense numpy: n-gram sets, log-count ratios, chosen features, regression."""
+    import zlib
+
+    import numpy as np
+
+    from starweave.llm import toxicity as T
+
+    random.seed(5)
+    bad, good = ["vile", "scum", "hate you"], ["kind", "river", "thank you", "table"]
+    rows = []
+    for i in range(160):
+        toxic = int(random.random() < 0.4)
+        words = [random.choice(good) for _ in range(random.randrange(3, 9))] + [random.choice(bad)] * toxic
+        random.shuffle(words)
+        rows.append((i, " ".join(words), toxic))
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in T.score_toxicity(docs, labels).collect()}
+
+    m, top = 0x9E3779B97F4A7C15, 1 << 64
+
+    def grams(text):
+        text = f" {text.lower()} "
+        value = [((ord(c) + 1) * m) % top for c in text]
+        value = [v ^ (v >> 29) for v in value]
+        n_of = {}
+        for n in range(3, 8):
+            for i in range(len(text) - n + 1):
+                run = 0
+                for v in value[i : i + n]:
+                    run = (run * m + v) % top
+                h = ((run ^ (run >> 32)) * m % top) >> (64 - T.BITS)
+                n_of[h] = n_of.get(h, 0) + 1
+        return set(n_of) | {h ^ (1 << (T.BITS - 1)) for h, n in n_of.items() if n > 1}
+
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 0 for i, _, _ in rows}
+    train = [(grams(t), y) for i, t, y in rows if not held[i]]
+    n = [sum(1 for _, y in train if y == k) for k in (0, 1)]
+    every = sorted(set().union(*(g for g, _ in train)))
+    count = {h: [sum(1 for g, y in train if y == k and h in g) for k in (0, 1)] for h in every}
+    share = {h: [(count[h][k] + 1) / (n[k] + 2) for k in (0, 1)] for h in every}
+    apart = {h: abs(share[h][1] - share[h][0]) / sum(share[h][k] * (1 - share[h][k]) / n[k] for k in (0, 1)) ** 0.5
+             for h in every if sum(count[h]) >= 3}
+    assert len(apart) <= T.FEATURES
+    chosen = sorted(h for h in apart if apart[h] > 0)
+    ratio = np.log([share[h][1] / share[h][0] for h in chosen])
+    x = np.array([[h in g for h in chosen] for g, _ in train]) * ratio
+    x, y = x / np.sqrt((x**2).sum() / len(train)), np.array([k for _, k in train])
+    scale = np.sqrt(((np.array([[h in g for h in chosen] for g, _ in train]) * ratio) ** 2).sum() / len(train))
+    weight = np.where(y == 1, 0.5 / n[1], 0.5 / n[0]) * len(y)
+    w, b = np.zeros(len(chosen)), 0.0
+    look = w, b
+    for t in range(1, 121):
+        gap = weight * (1 / (1 + np.exp(-np.clip(x @ look[0] + look[1], -30, 30))) - y) / len(y)
+        new = look[0] - (0.5 / len(y) * look[0] + x.T @ gap), look[1] - gap.sum()
+        push = (t - 1) / (t + 2)
+        look, (w, b) = (new[0] + push * (new[0] - w), new[1] + push * (new[1] - b)), new
+    for i, t, _ in rows:
+        g = grams(t)
+        z = b + sum(w[j] * ratio[j] / scale for j, h in enumerate(chosen) if h in g)
+        assert got[i].held_out == held[i] and abs(got[i].score - 1 / (1 + np.exp(-z))) < 1e-3
