@@ -86,11 +86,10 @@ def string_agg_chunks(df: DataFrame, group: list[ColRef], value: ColRef, order:
     # cut where the row number is a multiple of ``rows``, and between groups
     dealt = row.withColumn("__c", F.expr(f"__row div {int(rows)}"))
     values = F.array_sort(F.collect_list(F.struct("__row", "__v")))
-    made = materialize(dealt.groupBy(*gs, "__c").agg(F.array_join(F.transform(values, lambda p: p["__v"]), sep).alias("text")),
-                       "string_agg")
+    texts = dealt.groupBy(*gs, "__c").agg(F.array_join(F.transform(values, lambda p: p["__v"]), sep).alias("text"))
+    made = materialize(texts.withColumn("n", F.char_length("text").cast("bigint")), "string_agg")
     w = Window.partitionBy(*gs).orderBy("__c")
-    size = F.char_length("text").cast("bigint")
-    places = made.select(*gs, "__c", size.alias("n"), (F.row_number().over(w) - 1).cast("bigint").alias("chunk")).withColumn(
+    places = made.select(*gs, "__c", "n", (F.row_number().over(w) - 1).cast("bigint").alias("chunk")).withColumn(
         "begin", F.coalesce(F.sum(F.col("n") + len(sep)).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         - F.when(F.col("chunk") > 0, len(sep)).otherwise(0))
     same = F.col("a.__c") == F.col("b.__c")
