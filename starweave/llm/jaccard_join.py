@@ -45,6 +45,8 @@ FLUSH_TOKENS = 2_000_000
 BLOCK = 512
 #: Columns of the token matrix that a block comparison holds at once.
 BLOCK_TOKENS = 4096
+#: Parts of the sets that share a hot token.
+SALTS = 64
 
 
 def cell_bits(docs: DataFrame, text: str = "text", cell_bytes: int = 12 << 20) -> int:
@@ -321,9 +323,14 @@ def _near_tokens(rows):
 
 def hot_links(hot: DataFrame, num: int, den: int) -> DataFrame:
     """Links (a, b) of hot sets ``hot`` (sig, n, near, frequent; one row a set) that share no rare token."""
-    at = hot.select("sig", "near").mapInArrow(_near_tokens, "sig long, token long")
-    least = at.groupBy("token").agg(F.min("sig").alias("b"))
-    group = components(at.join(least, "token").select(F.col("sig").alias("a"), "b").distinct())
+    # the sets of a token are tied to their least one in two steps, so a hot token is many tasks
+    at = hot.select("sig", "near").mapInArrow(_near_tokens, "sig long, token long").withColumn(
+        "salt", F.pmod(F.xxhash64("sig"), F.lit(SALTS)))
+    some = materialize(at.groupBy("token", "salt").agg(F.min("sig").alias("b")), "token_ends")
+    least = some.groupBy("token").agg(F.min("b").alias("a"))
+    ties = at.join(some, ["token", "salt"]).select(F.col("sig").alias("a"), "b").union(
+        some.join(least, "token").select(F.col("b").alias("a"), F.col("a").alias("b")))
+    group = components(ties.distinct())
     members = materialize(
         hot.join(group.withColumnRenamed("node", "sig"), "sig")  # a set alone on its tokens has no class
         .withColumn("pattern", F.xxhash64("frequent", "n", "near")), "hot")
