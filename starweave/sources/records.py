@@ -14,7 +14,7 @@ are found in three steps:
    crosses splits is put together from its fragments (at most two a split), the only rows that are shuffled.
 
 The records are written once to the shared folder and parsed by ``from_csv`` with the options of ``read_csv``, so
-values are typed by the same parser. Lines end with \\n or \\r\\n, texts are UTF-8. A quote opens a field only at its
+values are typed by the same parser. Files are told apart by a 64-bit hash of their path. Lines end with \\n or \\r\\n, texts are UTF-8. A quote opens a field only at its
 start (blanks may come first), a doubled quote stays inside, a quote elsewhere in a field is an ordinary character. A
 quoted field that is never closed takes the rest of its file, as it does in the whole-file reader.
 """
