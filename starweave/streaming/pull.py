@@ -161,6 +161,8 @@ def _parquet_rows(system, rows: _Rows, target: pa.Schema) -> Iterator[pa.RecordB
                     part = batch.slice(max(a, 0), min(b, batch.num_rows) - max(a, 0))
                     yield part.select(target.names).cast(target)
                 a, b = a - batch.num_rows, b - batch.num_rows
+                if b <= 0:  # what lies behind the pull in its row group is not decoded
+                    break
 
 
 class MessageSource(DataSource):
