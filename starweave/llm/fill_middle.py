@@ -23,12 +23,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_BYTES, slices, text_of, utf8_column
+from .common import slices, text_of, utf8_column
 
 MARKS = ("<P>", "<S>", "<M>")  # prefix, suffix, middle
 SEED = "1"
 FIM_PERCENT = 90
 SPM_PERCENT = 20
+#: Bytes of text that the unit arrays of a task stand for at once; they take some 60 bytes for one of text.
+SLICE_BYTES = 1 << 18
 _SCHEMA = "doc_id long, n long, form string, prefix_chars long, middle_chars long, output string"
 
 
@@ -115,7 +117,7 @@ def _task(rows):
     for batch in rows:
         texts = pc.fill_null(batch.column("text"), "")
         _, offsets = utf8_column(texts)
-        for i, j in slices(offsets) if batch.num_rows else ():
+        for i, j in slices(offsets, SLICE_BYTES) if batch.num_rows else ():
             b, t = batch.slice(i, j - i), texts.slice(i, j - i)
             first, second = b.column("first").to_numpy(), b.column("second").to_numpy()
             plain = pc.equal(b.column("form"), "plain")
@@ -135,9 +137,9 @@ def fill_in_middle(docs: DataFrame, *, seed: str = SEED, fim_percent: int = FIM_
 
 
 def _after(mark: str, text: Column) -> list[Column]:
-    """What stands before and after the first ``mark`` of ``text``."""
-    both = F.split(text, rf"\Q{mark}\E", 2)
-    return [F.get(both, 0), F.get(both, 1)]
+    """What stands before and after ``mark``, which ``text`` holds once. Cut in the text's bytes: a ``split`` by a pattern
+    makes Java strings of every text, several times its size."""
+    return [F.substring_index(text, mark, 1), F.substring_index(text, mark, -1)]
 
 
 def restored(output: Column, form: Column) -> Column:

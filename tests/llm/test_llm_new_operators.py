@@ -64,6 +64,32 @@ def test_fill_in_middle_equals_string_slices(spark):
     assert {r.form for r in got} == {"plain", "psm", "spm"}
 
 
+def test_fill_in_middle_holds_little_for_a_batch_of_any_size():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng, n = random.Random(8), 600
+    texts = [text(rng, 4000) for _ in range(n)]
+    cuts = [sorted((rng.randrange(4001), rng.randrange(4001))) for _ in range(n)]
+    batch = pa.RecordBatch.from_pydict({
+        "doc_id": range(n), "text": texts, "n": [4000] * n, "form": ["psm"] * n, "first": [a for a, _ in cuts],
+        "second": [b for _, b in cuts]})
+    made = []
+    tracemalloc.start()
+    for out in FM._task(iter([batch])):
+        made += out.column("output").to_pylist()
+    peak = tracemalloc.get_traced_memory()[1] - sum(len(t.encode()) for t in texts)
+    tracemalloc.stop()
+    assert made == [f"<P>{t[:a]}<S>{t[b:]}<M>{t[a:b]}" for t, (a, b) in zip(texts, cuts)]
+    assert peak < 11 << 20
+
+
+def test_restored_cuts_bytes_not_java_strings(spark):
+    made = FM.digests(FM.fill_in_middle(frame(spark, [(1, "a text")])))
+    assert "split(" not in made._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_fill_in_middle_parts_of_a_long_text():
     import pyarrow as pa
 
