@@ -6,7 +6,9 @@ import io
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from starweave.operators import agg as A
 from starweave.plans import model as M
+from starweave.plans import routes as RT
 from starweave.plans import staging as stg
 from starweave.sources import text as TX
 from starweave.streaming import pull as PL
@@ -87,3 +89,25 @@ def test_a_pull_decodes_no_more_of_a_row_group_than_it_needs(tmp_path, monkeypat
     target = pa.schema([("value", pa.string())])
     got = [v for b in PL._parquet_rows(fs.LocalFileSystem(), PL._Rows(path, 500, 1500), target) for v in b.column(0).to_pylist()]
     assert got == [str(i) for i in range(500, 1500)] and sum(decoded) < 400_000
+
+
+def test_rows_that_seldom_repeat_are_compared_behind_their_shuffle(spark):
+    rows = [("a", 1, None), ("a", 1, None), (None, None, None), (None, None, None), ("b", 1, 2.0), ("b", None, 2.0)]
+    df = spark.createDataFrame(rows * 3, "x string, y int, z double").repartition(5)
+    made = A.distinct_rows(df, seldom_equal=True)
+    assert sorted(map(str, made.collect())) == sorted(map(str, A.distinct_rows(df).collect()))
+    assert made.count() == 4
+    initial = plan(made).split("== Initial Plan ==")[-1]
+    # read from the bottom: the shuffle comes before the first hash map
+    assert initial.rindex("Exchange hashpartitioning(x") > initial.rindex("HashAggregate")
+
+
+def test_judged_aspects_of_the_files_are_told_apart_once(spark, tmp_path):
+    head = "judged_aspect_id,performance_id,aspect_type_nm,perf_aspect_seq_nbr,aspect_desc,info_flag,credit_flag,"
+    line = "A1,P1,elements,1.0,x,,,2.0,,1.0,,3.0\n"
+    (tmp_path / "judged-aspects.csv").write_text(
+        head + "base_difficulty,factor,goe,ref,total_score\n" + line * 3 + line.replace("A1", "A2") + line.replace("A1", ""))
+    made = RT.FilesModel(spark, str(tmp_path)).judged_aspects
+    assert sorted(str(r.judged_aspect_id) for r in made.collect()) == ["A1", "A2", "None"]
+    # what reads them finds them written: nothing is shuffled or compared again
+    assert "Exchange" not in plan(made) and "HashAggregate" not in plan(made)
