@@ -102,12 +102,15 @@ def test_rows_that_seldom_repeat_are_compared_behind_their_shuffle(spark):
     assert initial.rindex("Exchange hashpartitioning(x") > initial.rindex("HashAggregate")
 
 
-def test_judged_aspects_of_the_files_are_told_apart_once(spark, tmp_path):
+def test_judged_aspects_of_the_files_are_shuffled_before_they_are_compared(spark, tmp_path):
     head = "judged_aspect_id,performance_id,aspect_type_nm,perf_aspect_seq_nbr,aspect_desc,info_flag,credit_flag,"
     line = "A1,P1,elements,1.0,x,,,2.0,,1.0,,3.0\n"
     (tmp_path / "judged-aspects.csv").write_text(
         head + "base_difficulty,factor,goe,ref,total_score\n" + line * 3 + line.replace("A1", "A2") + line.replace("A1", ""))
-    made = RT.FilesModel(spark, str(tmp_path)).judged_aspects
+    model = RT.FilesModel(spark, str(tmp_path))
+    made = model.judged_aspects
     assert sorted(str(r.judged_aspect_id) for r in made.collect()) == ["A1", "A2", "None"]
-    # what reads them finds them written: nothing is shuffled or compared again
-    assert "Exchange" not in plan(made) and "HashAggregate" not in plan(made)
+    initial = plan(made).split("== Initial Plan ==")[-1]
+    assert initial.rindex("Exchange hashpartitioning(") > initial.rindex("HashAggregate")
+    # the kinds are few and told apart before their shuffle
+    assert [tuple(r) for r in model.aspects.select("aspect_id", "aspect_type_cd", "aspect_desc").collect()] == [(1, "E", "x")]
