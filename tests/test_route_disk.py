@@ -4,11 +4,13 @@ import contextlib
 import io
 import os
 import time
+import uuid
 
 from starweave.operators import joins as J
 from starweave.plans import routes as RT
 from starweave.plans import staging as stg
 from starweave.session import shuffles_dropped
+from starweave.sources import tables as TB
 
 SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -158,3 +160,14 @@ def test_scores_are_told_apart_where_they_meet_their_aspect(spark, tmp_path):
     got = files_model(spark, tmp_path).score_rows.select("perf_aspect_id", "judge_id", "score").collect()
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, [(3, 3, "1.5"), (3, None, "2.5"), (None, None, "1.5"),
                                                               (None, None, "1.5")]))
+
+
+def test_loads_of_the_warehouse_write_zstd(spark):
+    db = f"wh_{uuid.uuid4().hex[:6]}"
+    RT.create_warehouse(spark, db)
+    rows = spark.createDataFrame([(1, "E", "x")], "aspect_id long, aspect_type_cd string, aspect_desc string")
+    for load in (lambda: TB.load_overwrite(rows, f"{db}.d_aspect"), lambda: TB.load_procedure(spark, f"{db}.d_aspect", rows)):
+        load()
+        at = TB.location_of(spark, f"{db}.d_aspect").removeprefix("file:")
+        assert [f for f in os.listdir(at) if f.endswith(".zstd.parquet")]
+        assert [tuple(r) for r in spark.table(f"{db}.d_aspect").collect()] == [(1, "E", "x")]
